@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -13,14 +13,15 @@ from pyspark.sql import types as T
 
 def flatten_details(
     df: DataFrame, payload: str, schema: T.StructType | str, paths: Mapping[str, str],
-    default_id: tuple[str, str] | None = None,
+    default_id: tuple[str, str] | None = None, keep: Sequence[str] = (),
 ) -> DataFrame:
     """One flat row per nested record.
 
     ``payload`` is a struct column, or JSON text read with ``schema``. ``paths``
     maps output names to dotted paths; a path missing in a record gives null.
-    ``default_id`` = (output name, source column) fills an absent id. Empty
-    records (null, unreadable or without any field) are dropped.
+    ``default_id`` = (output name, source column) fills an absent id, and
+    ``keep`` passes other columns on. Empty records (null, unreadable or without
+    any field) are dropped.
     """
     is_json = isinstance(df.schema[payload].dataType, T.StringType)
     record = F.from_json(F.col(payload), schema) if is_json else F.col(payload)
@@ -33,7 +34,7 @@ def flatten_details(
         flat[name] = F.coalesce(flat[name], F.col(source))
     return (
         parsed.where(F.col("_record").isNotNull() & filled)
-        .select(*[c.alias(n) for n, c in flat.items()])
+        .select(*keep, *[c.alias(n) for n, c in flat.items()])
     )
 
 

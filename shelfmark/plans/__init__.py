@@ -1,0 +1 @@
+"""Whole plans, and the named queries over the given tables."""

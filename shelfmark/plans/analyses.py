@@ -45,14 +45,14 @@ def analyses(df: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def chart_tables(df: DataFrame, pivot_values=None) -> dict[str, DataFrame]:
+def chart_tables(df: DataFrame, pivot_values=None, heat_digits: int = 2) -> dict[str, DataFrame]:
     """The tables behind ten charts by name.
 
     The heat map is kept as (row, column, mean) cells unless its columns are given.
     """
     heat = (
-        ch.pivot_mean(df, "district", "category", "rating", values=pivot_values) if pivot_values
-        else ch.mean_cells(df, "district", "category", "rating")
+        ch.pivot_mean(df, "district", "category", "rating", heat_digits, values=pivot_values) if pivot_values
+        else ch.mean_cells(df, "district", "category", "rating", heat_digits)
     )
     return {
         "bars_category": ch.bars(df, "category"),

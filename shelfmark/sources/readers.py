@@ -16,6 +16,7 @@ from shelfmark.operators.project import cast_columns, try_cast
 def read_csv(
     spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
     null_value: str = "", multiline: bool = False, escape: str | None = None, mode: str = "PERMISSIVE",
+    header: bool = True,
 ) -> DataFrame:
     """Headed CSV, one file or a folder of them, under a declared schema.
 
@@ -25,7 +26,7 @@ def read_csv(
     """
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    reader = spark.read.schema(text).option("header", True).option("nullValue", null_value)
+    reader = spark.read.schema(text).option("header", header).option("nullValue", null_value)
     reader = reader.option("multiLine", multiline).option("mode", mode)
     if escape is not None:
         reader = reader.option("escape", escape)
@@ -48,10 +49,11 @@ def read_csv_inferred(
 
 def read_lenient(
     spark: SparkSession, path: str, schema: T.StructType | str, numeric: Sequence[str] = (),
+    header: bool = True,
 ) -> DataFrame:
     """CSV that may be broken: rows with a wrong number of fields are skipped, bad numbers are null."""
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    df = read_csv(spark, path, schema, multiline=True, escape='"', mode="DROPMALFORMED")
+    df = read_csv(spark, path, schema, multiline=True, escape='"', mode="DROPMALFORMED", header=header)
     return cast_columns(df, {c: "double" for c in numeric})
 
 
