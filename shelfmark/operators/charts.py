@@ -29,7 +29,7 @@ def _fences(df: DataFrame, group: str, value: str) -> tuple[DataFrame, DataFrame
     values = value_counts(df, value, [group]).select(F.struct(F.col(group)).alias("_key"), "_v", "_n")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     limits = (
-        skew_join(values, keyed, ["_key"], how="inner")
+        skew_join(values, keyed, ["_key"], how="inner", spread_by=["_v"])
         .withColumn("_inside", (F.col("_v") >= F.col("q1") - reach) & (F.col("_v") <= F.col("q3") + reach))
     )
     return quartiles, limits
@@ -80,7 +80,7 @@ def mean_cells(
         .where(F.col("mean").isNotNull())
     )
     kept = cells.groupBy(col).agg(F.count(F.lit(1)).alias("_k")).where(F.col("_k") >= min_rows).select(col)
-    return cells.join(kept, col, "left_semi").select(row, col, "mean")
+    return skew_join(cells, kept, [col], how="inner", spread_by=[row]).select(row, col, "mean")
 
 
 def pivot_mean(

@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A key counts as hot from this share of the rows on; so there are at most 200.
-HOT_SHARE = 0.005
-# Every 16th row (by content) is enough to see which keys are hot.
-SAMPLE_EVERY = 16
-# Number of parts a hot key is cut into.
-SPLITS = 64
+# A key is cut into parts of about this share of all rows. At most 1/PART_SHARE
+# keys can be that frequent, and they are cut into at most 2/PART_SHARE parts.
+PART_SHARE = 1e-4
+# Keys are counted on this share of the rows ...
+SAMPLE_SHARE = 1 / 16
+# ... and one seen less often than this is no burden for a task.
+SAMPLE_MIN = 2000
 
 
 def orderable(df: DataFrame) -> list[str]:
@@ -23,49 +23,60 @@ def orderable(df: DataFrame) -> list[str]:
             if not isinstance(f.dataType, (T.MapType, T.VariantType, T.UserDefinedType))]
 
 
-def _row_hash(df: DataFrame, salt: int) -> Column:
-    # Of the row's content: a task that runs again puts each row in the same part.
-    return F.xxhash64(F.lit(salt), *[F.col(f"`{c}`") for c in orderable(df)])
+def _code(on: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(f"`{c}`") for c in on])
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding at least ``share`` of a content sample; never more than 1/share rows.
+def hot_keys(
+    df: DataFrame, on: Sequence[str], part_share: float = PART_SHARE, sample_share: float = SAMPLE_SHARE,
+    sample_min: int = SAMPLE_MIN,
+) -> Column:
+    """Hashes of the frequent keys with the number of parts to cut each into.
 
-    The sample only decides which keys are cut up, never which rows are kept.
+    One array of at most ``1 / part_share`` entries, as a scalar subquery: it runs
+    once per query, so all who use it see the same keys. The sample only decides
+    which keys are cut, never which rows are kept.
     """
-    counts = (
-        df.where(F.pmod(_row_hash(df, 1), F.lit(SAMPLE_EVERY)) == 0)
-        .groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    )
-    total = counts.agg(F.sum("_n")).scalar()
-    return counts.where(F.col("_n") >= F.lit(share) * total).select(*on)
+    keys = df.select(_code(on).alias("code")).sample(sample_share, seed=11)
+    counts = keys.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    frequent = counts.where((F.col("n") >= sample_min) & (F.col("n") >= F.lit(part_share) * total))
+    parts = F.ceil(F.col("n") / (F.lit(part_share) * total)).cast("int")
+    return frequent.agg(F.collect_list(F.struct("code", parts.alias("parts")))).scalar()
 
 
 def skew_join(
-    facts: DataFrame, other: DataFrame, on: Sequence[str], how: str = "left", splits: int = SPLITS,
+    facts: DataFrame, other: DataFrame, on: Sequence[str], how: str = "left",
+    spread_by: Sequence[str] | None = None, part_share: float = PART_SHARE,
+    sample_share: float = SAMPLE_SHARE, sample_min: int = SAMPLE_MIN,
 ) -> DataFrame:
     """Equi-join where a key of ``facts`` may be very frequent.
 
-    Rows of hot keys are spread over ``splits`` parts by a hash of their content,
-    and the few matching rows of ``other`` are repeated for each part; all other
-    keys join as usual. Rows with a null key match nothing and are spread as well.
-    ``how`` is "inner" or "left".
+    Rows of a hot key are spread over parts by a hash of ``spread_by`` (all other
+    columns if absent), and the rows of ``other`` for that key are repeated per
+    part; all other keys join as usual. Rows with a null key match nothing and
+    are spread as well. ``how`` is "inner" or "left".
     """
     if how not in ("inner", "left"):
-        raise ValueError(f"skew_join supports inner and left joins, not {how!r}")
+        raise ValueError(f"skew_join does inner and left joins, not {how!r}")
     on = list(on)
-    hot = F.broadcast(hot_keys(facts, on).withColumn("_hot", F.lit(True)))
-    cut = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on], F.col("_hot").isNotNull())
+    for c in on:
+        if facts.schema[c].dataType != other.schema[c].dataType:
+            raise ValueError(f"{c} has different types on both sides; cast one")
+    spread_by = list(spread_by) if spread_by else [c for c in orderable(facts) if c not in on] or on
+    codes = hot_keys(facts, on, part_share, sample_share, sample_min)
+    # Rebuilt from the array on both sides; its size is bounded, see hot_keys.
+    hot = F.broadcast(
+        facts.sparkSession.range(1).select(F.inline(codes)).toDF("_hot_code", "_hot_parts"))
+    # A hash and not a random number: a task that runs again repeats its choice.
+    chosen = F.pmod(F.xxhash64(F.lit(11), *[F.col(f"`{c}`") for c in spread_by]), F.coalesce("_hot_parts", F.lit(1)))
     spread = (
-        facts.withColumn("_hash", _row_hash(facts, 2))
-        .join(hot, on, "left")
-        .withColumn("_part_no", F.when(cut, F.pmod("_hash", F.lit(splits)).cast("int")).otherwise(0))
-        .drop("_hot", "_hash")
+        facts.withColumn("_hot_code", _code(on)).join(hot, "_hot_code", "left")
+        .withColumn("_hot_part", chosen.cast("int")).drop("_hot_code", "_hot_parts")
     )
     repeated = (
-        other.join(hot, on, "left")
-        .withColumn("_part_no", F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
+        other.withColumn("_hot_code", _code(on)).join(hot, "_hot_code", "left")
+        .withColumn("_hot_part", F.explode(F.sequence(F.lit(0), F.coalesce("_hot_parts", F.lit(1)) - 1)))
+        .drop("_hot_code", "_hot_parts")
     )
-    return spread.join(repeated, [*on, "_part_no"], how).drop("_part_no")
+    return spread.join(repeated, [*on, "_hot_part"], how).drop("_hot_part")

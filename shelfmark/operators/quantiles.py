@@ -132,7 +132,7 @@ def _within(counts: DataFrame, wanted: DataFrame, keys: list[str], few: bool) ->
     if few:
         # Two ranks per group and requested quantile, whatever the size of the table.
         return counts.join(F.broadcast(wanted), on)
-    return skew_join(counts, wanted, on, how="inner")
+    return skew_join(counts, wanted, on, how="inner", spread_by=["_v"])
 
 
 def approx_quantiles(

@@ -147,7 +147,9 @@ def bias_predictions(spark: SparkSession, folder: str) -> DataFrame:
     train, test = rows.where("_train"), rows.where("not _train").drop("_train")
     users = train.groupBy("user_id").agg(F.avg("score").alias("_u"))
     items = train.groupBy("item_id").agg(F.avg("score").alias("_i"))
-    known = skew_join(skew_join(test, users, ["user_id"], "inner"), items, ["item_id"], "inner")
+    pair = ["user_id", "item_id"]
+    known = skew_join(
+        skew_join(test, users, ["user_id"], "inner", spread_by=pair), items, ["item_id"], "inner", spread_by=pair)
     overall = train.agg(F.avg("score")).scalar()
     return known.select(
         "user_id", "item_id", "score", (F.col("_u") + F.col("_i") - overall).alias("prediction"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from shelfmark.functions.derive import bucketize, ordinal_label
@@ -106,20 +108,18 @@ _FINISH = {
 }
 
 
-def _add(name, sql, tables):
+def _add(name, sql, answer):
     finish = _FINISH.get(name, lambda df: df)
-    query(name, sql)(lambda spark, folder: finish(tables(b.entity(spark, folder))[name]))
-
-
-def _charts(df):
-    # Two digits would often round exact halves, where engines differ.
-    return an.chart_tables(df, heat_digits=9)
+    query(name, sql)(lambda spark, folder: finish(answer(b.entity(spark, folder))))
 
 
 for _name, _sql in _ANALYSES.items():
-    _add(_name, _sql, an.analyses)
+    _add(_name, _sql, an.ANALYSES[_name])
 for _name, _sql in _CHARTS.items():
-    _add(_name, _sql, _charts)
+    # Two digits would often round exact halves of ratings, where engines differ.
+    _heat = _name == "heat_rating"
+    _add(_name, _sql, partial(ch.mean_cells, row="district", col="category", value="rating", digits=9)
+         if _heat else an.CHARTS[_name])
 
 
 @query("sql_category_count", _count("category"))
