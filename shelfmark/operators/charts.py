@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfmark.operators.aggregate import count_by
 from shelfmark.operators.joins import skew_join
 from shelfmark.operators.quantiles import quantiles, value_counts
+from shelfmark.sources.staging import stage
 
 
 def share(df: DataFrame, col: str, digits: int = 1) -> DataFrame:
@@ -70,16 +71,24 @@ def scatter_points(df: DataFrame, x: str, y: str, label: str, log_x: bool = True
     return points.where(F.col("x") > 0) if log_x else points
 
 
-def mean_cells(
-    df: DataFrame, row: str, col: str, value: str, digits: int = 2, min_rows: int = 2,
-) -> DataFrame:
-    """Rounded mean per (row, column) pair, for columns filled in at least ``min_rows`` rows."""
-    cells = (
+def _all_cells(df: DataFrame, row: str, col: str, value: str, digits: int) -> DataFrame:
+    return (
         df.where(F.col(row).isNotNull() & F.col(col).isNotNull())
         .groupBy(row, col).agg(F.round(F.avg(value), digits).alias("mean"))
         .where(F.col("mean").isNotNull())
     )
-    kept = cells.groupBy(col).agg(F.count(F.lit(1)).alias("_k")).where(F.col("_k") >= min_rows).select(col)
+
+
+def _filled_columns(cells: DataFrame, col: str, min_rows: int) -> DataFrame:
+    return cells.groupBy(col).agg(F.count(F.lit(1)).alias("_k")).where(F.col("_k") >= min_rows).select(col)
+
+
+def mean_cells(
+    df: DataFrame, row: str, col: str, value: str, digits: int = 2, min_rows: int = 2,
+) -> DataFrame:
+    """Rounded mean per (row, column) pair, for columns filled in at least ``min_rows`` rows."""
+    cells = _all_cells(df, row, col, value, digits)
+    kept = _filled_columns(cells, col, min_rows)
     return skew_join(cells, kept, [col], how="inner", spread_by=[row]).select(row, col, "mean")
 
 
@@ -87,21 +96,22 @@ def pivot_mean(
     df: DataFrame, row: str, col: str, value: str, digits: int = 2, min_rows: int = 2,
     values: Sequence | None = None, max_columns: int = 1000,
 ) -> DataFrame:
-    """``mean_cells`` as a wide table (heat map).
+    """Rounded means as a wide table, one column per filled column value (heat map).
 
-    Without ``values`` the column names come from the data, which takes a small
-    job; more than ``max_columns`` of them is an error, as nobody can draw that.
+    Rows whose only columns were left out stay, as empty rows. With ``values``
+    the columns are those, filled or not. Without, the names come from the data:
+    the means are then staged first; more than ``max_columns`` names are an
+    error, as nobody can draw that (``mean_cells`` has no such limit).
     """
-    cells = mean_cells(df, row, col, value, digits, min_rows)
+    cells = _all_cells(df, row, col, value, digits)
     if values is None:
-        found = cells.select(col).distinct().orderBy(col).take(max_columns + 1)
+        cells = stage(cells, "cells")
+        found = _filled_columns(cells, col, min_rows).orderBy(col).take(max_columns + 1)
         if len(found) > max_columns:
             raise ValueError(f"{col} has more than {max_columns} values; use mean_cells instead")
         values = [r[0] for r in found]
-    rows = df.select(row).where(F.col(row).isNotNull() & F.col(value).isNotNull() & F.col(col).isNotNull())
-    wide = cells.groupBy(row).pivot(col, list(values)).agg(F.first("mean"))
-    # Rows whose only columns were left out stay, as empty rows.
-    return rows.distinct().join(wide, row, "left")
+    wide = [F.max(F.when(F.col(col) == F.lit(v), F.col("mean"))).alias(str(v)) for v in values]
+    return cells.groupBy(row).agg(*wide) if wide else cells.select(row).distinct()
 
 
 def _range(df: DataFrame, col: str) -> DataFrame:

@@ -41,12 +41,16 @@ def label_codes(df: DataFrame, col: str, code: str = "code") -> DataFrame:
 
 def index_labels(
     df: DataFrame, col: str, out: str, codes: DataFrame | None = None, as_type: str = "int",
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """The table with its labels' codes; null and unknown labels get the code after the last."""
-    codes = codes if codes is not None else label_codes(df, col)
+    """The table with its labels' codes; null and unknown labels get the code after the last.
+
+    ``counted`` as in ``skew_join``.
+    """
+    codes = codes if codes is not None else label_codes(df if counted is None else counted, col)
     unknown = codes.agg(F.coalesce(F.max("code") + 1, F.lit(0))).scalar()
     lookup = codes.select(F.col("label").alias(col), F.col("code").alias("_code"))
-    joined = skew_join(df, lookup, [col], how="left")
+    joined = skew_join(df, lookup, [col], how="left", counted=counted)
     return joined.select(*[f"`{c}`" for c in df.columns], F.coalesce("_code", unknown).cast(as_type).alias(out))
 
 
@@ -97,10 +101,9 @@ def feature_table(
 
     Codes are doubles, as in ML vectors. ``score`` is scaled by its range first.
     """
-    out = df
-    for c, name in labels.items():
-        out = index_labels(out, c, name, as_type="double")
-    out = min_max(out, {score: "_unit"}).withColumns({
+    out = min_max(df, {score: "_unit"}).withColumns({
         user: assign_bucket(key, users), interaction: rescale_to_int("_unit"),
     })
+    for c, name in labels.items():
+        out = index_labels(out, c, name, as_type="double", counted=df)
     return select_existing(out, [*keep, *labels.values(), user, interaction])

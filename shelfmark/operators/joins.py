@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 # keys can be that frequent, and they are cut into at most 2/PART_SHARE parts.
 PART_SHARE = 1e-4
 # Keys are counted on this share of the rows ...
-SAMPLE_SHARE = 1 / 16
+SAMPLE_SHARE = 1 / 64
 # ... and one seen less often than this is no burden for a task.
-SAMPLE_MIN = 2000
+SAMPLE_MIN = 500
 
 
 def orderable(df: DataFrame) -> list[str]:
@@ -47,15 +47,16 @@ def hot_keys(
 
 def skew_join(
     facts: DataFrame, other: DataFrame, on: Sequence[str], how: str = "left",
-    spread_by: Sequence[str] | None = None, part_share: float = PART_SHARE,
-    sample_share: float = SAMPLE_SHARE, sample_min: int = SAMPLE_MIN,
+    spread_by: Sequence[str] | None = None, counted: DataFrame | None = None,
+    part_share: float = PART_SHARE, sample_share: float = SAMPLE_SHARE, sample_min: int = SAMPLE_MIN,
 ) -> DataFrame:
     """Equi-join where a key of ``facts`` may be very frequent.
 
     Rows of a hot key are spread over parts by a hash of ``spread_by`` (all other
     columns if absent), and the rows of ``other`` for that key are repeated per
     part; all other keys join as usual. Rows with a null key match nothing and
-    are spread as well. ``how`` is "inner" or "left".
+    are spread as well. ``how`` is "inner" or "left". If ``facts`` is costly to
+    compute, name a cheaper table with the same keys as ``counted``.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"skew_join does inner and left joins, not {how!r}")
@@ -64,15 +65,16 @@ def skew_join(
         if facts.schema[c].dataType != other.schema[c].dataType:
             raise ValueError(f"{c} has different types on both sides; cast one")
     spread_by = list(spread_by) if spread_by else [c for c in orderable(facts) if c not in on] or on
-    codes = hot_keys(facts, on, part_share, sample_share, sample_min)
+    codes = hot_keys(facts if counted is None else counted, on, part_share, sample_share, sample_min)
     # Rebuilt from the array on both sides; its size is bounded, see hot_keys.
     hot = F.broadcast(
         facts.sparkSession.range(1).select(F.inline(codes)).toDF("_hot_code", "_hot_parts"))
     # A hash and not a random number: a task that runs again repeats its choice.
-    chosen = F.pmod(F.xxhash64(F.lit(11), *[F.col(f"`{c}`") for c in spread_by]), F.coalesce("_hot_parts", F.lit(1)))
+    spot = F.pmod(F.xxhash64(F.lit(11), *[F.col(f"`{c}`") for c in spread_by]), F.col("_hot_parts")).cast("int")
+    chosen = F.when(F.col("_hot_parts").isNotNull(), spot).otherwise(0)
     spread = (
         facts.withColumn("_hot_code", _code(on)).join(hot, "_hot_code", "left")
-        .withColumn("_hot_part", chosen.cast("int")).drop("_hot_code", "_hot_parts")
+        .withColumn("_hot_part", chosen).drop("_hot_code", "_hot_parts")
     )
     repeated = (
         other.withColumn("_hot_code", _code(on)).join(hot, "_hot_code", "left")

@@ -148,8 +148,8 @@ def bias_predictions(spark: SparkSession, folder: str) -> DataFrame:
     users = train.groupBy("user_id").agg(F.avg("score").alias("_u"))
     items = train.groupBy("item_id").agg(F.avg("score").alias("_i"))
     pair = ["user_id", "item_id"]
-    known = skew_join(
-        skew_join(test, users, ["user_id"], "inner", spread_by=pair), items, ["item_id"], "inner", spread_by=pair)
+    with_users = skew_join(test, users, ["user_id"], "inner", spread_by=pair)
+    known = skew_join(with_users, items, ["item_id"], "inner", spread_by=pair, counted=test)
     overall = train.agg(F.avg("score")).scalar()
     return known.select(
         "user_id", "item_id", "score", (F.col("_u") + F.col("_i") - overall).alias("prediction"))
