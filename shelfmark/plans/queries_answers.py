@@ -6,14 +6,15 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
-from shelfmark.functions.derive import bucketize, ordinal_label
-from shelfmark.functions.presets import PRICE_REPORT_LABELS, RATING_EDGES, RATING_LABELS
+from shelfmark.functions.derive import bucketize, load_score, ordinal_label
+from shelfmark.functions.presets import HOUR_WEIGHTS, PRICE_REPORT_LABELS, RATING_EDGES, RATING_LABELS
 from shelfmark.operators import aggregate as ag
 from shelfmark.operators import charts as ch
 from shelfmark.operators import rank as rk
 from shelfmark.plans import analyses as an
 from shelfmark.plans import bindings as b
 from shelfmark.plans.oracle_tables import ENTITY, RAW, on
+from shelfmark.plans.queries_clean import LOAD_SQL
 from shelfmark.plans.registry import query
 
 
@@ -188,6 +189,14 @@ def _(spark, folder):
         ["item_id", "name", "rating", "total_ratings", "address"])
 
 
+@query("top5_load", on("scored as (" + LOAD_SQL + ")", """
+select event_id, load_score from scored order by load_score desc, event_id limit 5"""))
+def _(spark, folder):
+    scored = b.table(spark, folder, "events").select(
+        "event_id", load_score("event_id", "value", "ts", HOUR_WEIGHTS).alias("load_score"))
+    return rk.top_n(scored, [F.col("load_score").desc(), F.col("event_id")], 5)
+
+
 @query("total_sort", on(ENTITY, "select item_id, district, rating from entity"))
 def _(spark, folder):
     return rk.total_sort(

@@ -169,11 +169,11 @@ def _(spark, folder):
     return pr.cast_columns(orders, {"digit": "int", "whole": "int", "bad": "int", "absent": "int"})
 
 
-@query("with_audit", "select region.*, timestamp '2024-01-02 03:04:05' as collected_at from region")
+@query("with_audit", "select c_custkey, timestamp '2024-01-02 03:04:05' as collected_at from customer")
 def _(spark, folder):
-    stamped = pr.with_audit(b.table(spark, folder, "region"), "2024-01-02 03:04:05+00:00")
-    return stamped.withColumn("collected_at", F.to_timestamp_ntz(
-        F.date_format(F.to_utc_timestamp("collected_at", F.current_timezone()), "yyyy-MM-dd HH:mm:ss")))
+    stamped = pr.with_audit(b.table(spark, folder, "customer").select("c_custkey"), "2024-01-02 03:04:05+00:00")
+    utc = F.to_utc_timestamp("collected_at", F.current_timezone())
+    return stamped.withColumn("collected_at", utc.cast("timestamp_ntz"))
 
 
 @query("select_existing", "select c_custkey, c_name from customer")
@@ -260,7 +260,10 @@ select event_id, round(greatest(0.0::double, least(100.0::double,
    + ({number} % {spread} - {centre}) / {per}::double) * 100)), {places}) as load_score from events"""
 
 
-@query("load_score_a", _load_sql(presets.HOUR_WEIGHTS, 8, 15, 7, 100, 1))
+LOAD_SQL = _load_sql(presets.HOUR_WEIGHTS, 8, 15, 7, 100, 1)
+
+
+@query("load_score_a", LOAD_SQL)
 def _(spark, folder):
     return b.table(spark, folder, "events").select(
         "event_id", dv.load_score("event_id", "value", "ts", presets.HOUR_WEIGHTS).alias("load_score"))

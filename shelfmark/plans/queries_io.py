@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfmark.operators import aggregate as ag
 from shelfmark.operators import evaluate as ev
 from shelfmark.plans import bindings as b
+from shelfmark.plans.cleaning import clean
 from shelfmark.plans.oracle_tables import ENTITY, RAW, on
 from shelfmark.plans.registry import query
 from shelfmark.sources import readers as rd
@@ -35,6 +36,14 @@ def _(spark, folder):
     return back.select("doc_id", F.md5("text").alias("text_md5"), "n_chars")
 
 
+@query("clean_from_csv", on(ENTITY, "select * from entity"))
+def _(spark, folder):
+    path = scratch_path(spark, "raw-csv")
+    raw = b.raw(spark, folder)
+    wr.write_csv(raw, path)
+    return clean(rd.read_csv(spark, path, raw.schema, multiline=True, escape='"'), b.entity_spec(), staged=True)
+
+
 @query("csv_inferred", "select * from part")
 def _(spark, folder):
     path = scratch_path(spark, "part-csv")

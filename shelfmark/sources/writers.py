@@ -35,11 +35,13 @@ def write_metrics(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
-def write_results(results: Mapping[str, DataFrame], folder: str, fmt: str = "csv") -> None:
+def write_results(
+    results: Mapping[str, DataFrame], folder: str, fmt: str = "csv", single_file: bool = False,
+) -> None:
     """Each named result in its own subfolder; every result runs once."""
     for name, df in results.items():
         if fmt == "csv":
-            write_csv(df, f"{folder}/{name}", single_file=True)
+            write_csv(df, f"{folder}/{name}", single_file)
         else:
             write_parquet(df, f"{folder}/{name}")
 
