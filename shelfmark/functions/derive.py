@@ -138,6 +138,15 @@ def vector_element(vector: Column | str, index: int) -> Column:
     return F.get(vector_to_array(_col(vector)), F.lit(index))
 
 
+def steady_round(value: Column, digits: int, spare: int = 6) -> Column:
+    """Half-up rounding of a mean or ratio that does not depend on the order of summing.
+
+    Sums of doubles differ in their last bits from run to run, which would tip
+    exact halves either way; those bits are rounded off first.
+    """
+    return F.round(F.round(value, digits + spare), digits)
+
+
 def rounded(cols: Mapping[str, int]) -> dict[str, Column]:
     """Columns rounded half up, for ``withColumns``."""
     return {c: F.round(F.col(c), n) for c, n in cols.items()}

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.functions.derive import steady_round
+
 
 def count_by(df: DataFrame, *cols: str, name: str = "n", skip_null: bool = False) -> DataFrame:
     """Rows per value, most frequent first. Null is a value unless ``skip_null``."""
@@ -22,7 +24,7 @@ def avg_by(
     df: DataFrame, key: str, value: str, name: str, digits: int | None = 4, count_name: str | None = "n",
 ) -> DataFrame:
     """Mean (rounded unless ``digits`` is None) and row count per group, highest mean first."""
-    mean = F.avg(value) if digits is None else F.round(F.avg(value), digits)
+    mean = F.avg(value) if digits is None else steady_round(F.avg(value), digits)
     aggs = [mean.alias(name)]
     if count_name:
         aggs.append(F.count(F.lit(1)).alias(count_name))
@@ -31,7 +33,7 @@ def avg_by(
 
 def global_averages(df: DataFrame, names: dict[str, str], digits: int = 4) -> DataFrame:
     """One row with the rounded mean of each column, named as given."""
-    return df.agg(*[F.round(F.avg(c), digits).alias(n) for c, n in names.items()])
+    return df.agg(*[steady_round(F.avg(c), digits).alias(n) for c, n in names.items()])
 
 
 def correlation(df: DataFrame, x: str, y: str, name: str = "corr", digits: int = 6) -> DataFrame:
@@ -42,7 +44,7 @@ def correlation(df: DataFrame, x: str, y: str, name: str = "corr", digits: int =
     varies = (F.min(a) < F.max(a)) & (F.min(b) < F.max(b))
     covariance = F.covar_samp(a, b)
     value = F.try_divide(covariance, F.stddev_samp(a) * F.stddev_samp(b))
-    return df.agg(F.when(varies, F.round(value, digits)).alias(name))
+    return df.agg(F.when(varies, steady_round(value, digits)).alias(name))
 
 
 def distribution(df: DataFrame, bucket: Column, bucket_name: str = "bucket", name: str = "n") -> DataFrame:
@@ -73,5 +75,5 @@ def mean_distinct_per_group(
     keys = [key] if isinstance(key, str) else list(key)
     return (
         df.groupBy(*keys).agg(F.countDistinct(value).alias("_d"))
-        .agg(F.round(F.avg("_d"), digits).alias(name))
+        .agg(steady_round(F.avg("_d"), digits).alias(name))
     )

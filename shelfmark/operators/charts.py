@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.functions.derive import steady_round
 from shelfmark.operators.aggregate import count_by
 from shelfmark.operators.joins import skew_join
 from shelfmark.operators.quantiles import quantiles, value_counts
@@ -74,7 +75,7 @@ def scatter_points(df: DataFrame, x: str, y: str, label: str, log_x: bool = True
 def _all_cells(df: DataFrame, row: str, col: str, value: str, digits: int) -> DataFrame:
     return (
         df.where(F.col(row).isNotNull() & F.col(col).isNotNull())
-        .groupBy(row, col).agg(F.round(F.avg(value), digits).alias("mean"))
+        .groupBy(row, col).agg(steady_round(F.avg(value), digits).alias("mean"))
         .where(F.col("mean").isNotNull())
     )
 
@@ -150,7 +151,7 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
 def marks(df: DataFrame, col: str, digits: int = 2) -> DataFrame:
     """One row: mean and exact median (the marks on a histogram)."""
     middle = quantiles(df, col, [0.5], names=["m"]).select("m").scalar()
-    return df.agg(F.round(F.avg(col), digits).alias("mean")).select(
+    return df.agg(steady_round(F.avg(col), digits).alias("mean")).select(
         "mean", F.round(middle, digits).alias("median"))
 
 

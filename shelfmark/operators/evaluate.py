@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.functions.derive import steady_round
 from shelfmark.operators.aggregate import mean_distinct_per_group
 from shelfmark.operators.joins import skew_join
 
@@ -15,8 +16,8 @@ def rating_error(predictions: DataFrame, label: str, prediction: str = "predicti
     """One row: root mean squared and mean absolute error; nulls if nothing was predicted."""
     error = F.col(prediction).cast("double") - F.col(label).cast("double")
     return predictions.agg(
-        F.round(F.sqrt(F.avg(error * error)), digits).alias("rmse"),
-        F.round(F.avg(F.abs(error)), digits).alias("mae"),
+        steady_round(F.sqrt(F.avg(error * error)), digits).alias("rmse"),
+        steady_round(F.avg(F.abs(error)), digits).alias("mae"),
     )
 
 

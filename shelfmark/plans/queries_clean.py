@@ -30,7 +30,8 @@ def _(spark, folder):
 @query("dedup_documents", "select min(doc_id) as doc_id, arg_min(source, doc_id) as source, "
        "arg_min(lang, doc_id) as lang, arg_min(n_chars, doc_id) as n_chars from documents group by text")
 def _(spark, folder):
-    docs = b.table(spark, folder, "documents")
+    # Long texts are compared by their SHA-256, so they are neither sorted nor shuffled.
+    docs = b.table(spark, folder, "documents").withColumn("text", F.sha2("text", 256))
     return cl.dedup(docs, ["text"], ["doc_id"]).select("doc_id", "source", "lang", "n_chars")
 
 

@@ -217,3 +217,11 @@ def _(spark, folder):
     path = scratch_path(spark, "als-model")
     save_model(b.als_run(spark, folder).model, path)
     return rc.recommend_all(load_als(path))
+
+
+@query("als_list_lengths", on(SPLIT, """
+select user_id, least(10, (select count(distinct item_id) from flagged where train)) as items
+from flagged where train group by user_id"""))
+def _(spark, folder):
+    recs = b.als_run(spark, folder).recommendations
+    return recs.groupBy("user_id").agg(F.countDistinct("item_id").alias("items"))

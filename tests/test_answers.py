@@ -24,6 +24,14 @@ def test_avg_by_orders_and_counts_all_rows(spark):
     assert rows(ag.avg_by(df, "k", "v", "m")) == [("b", 2.0, 1), ("a", 1.0, 2), ("c", None, 1)]
 
 
+def test_means_do_not_depend_on_the_order_of_rows(spark):
+    # Their mean is 3.0625 exactly, but sums of these doubles differ in the last bit.
+    data = [("a", v) for v in [2.7, 2.9, 3.1, 3.3, 2.6, 3.2, 3.4, 3.3]]
+    for turn in range(8):
+        df = spark.createDataFrame(data[turn:] + data[:turn], "k string, v double").coalesce(1)
+        assert rows(ag.avg_by(df, "k", "v", "m", 3)) == [("a", 3.063, 8)]
+
+
 def test_correlation(spark):
     df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.1), (3.0, 5.9), (None, 100.0), (9.0, None)], "x double, y double")
     wanted = np.corrcoef([1, 2, 3], [2, 4.1, 5.9])[0, 1]
