@@ -32,7 +32,12 @@ def primary_tag(
     tags: Column | str, default: str, stop: Sequence[str] = (), sep: str = ",",
 ) -> Column:
     """First tag of a separated list that is not in ``stop``; ``default`` if none is left."""
-    parts = F.transform(F.split(_col(tags), re.escape(sep)), lambda t: F.trim(t))
+    tags = _col(tags)
+    if sep.strip(" "):
+        # Blanks around tags go with the separators, which needs no function per element.
+        parts = F.split(F.trim(tags), f" *{re.escape(sep)} *")
+    else:
+        parts = F.split(tags, re.escape(sep))
     left = F.array_except(parts, F.array(*[F.lit(s) for s in stop]).cast("array<string>"))
     return F.when(F.size(left) > 0, F.get(left, F.lit(0))).otherwise(F.lit(default))
 

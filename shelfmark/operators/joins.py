@@ -54,7 +54,8 @@ def skew_join(
 
     Rows of a hot key are spread over parts by a hash of ``spread_by`` (all other
     columns if absent), and the rows of ``other`` for that key are repeated per
-    part; all other keys join as usual. Rows with a null key match nothing and
+    part; all other keys join as usual. (Rows that are nothing but their key
+    cannot be spread; count them first.) Rows with a null key match nothing and
     are spread as well. ``how`` is "inner" or "left". If ``facts`` is costly to
     compute, name a cheaper table with the same keys as ``counted``.
     """

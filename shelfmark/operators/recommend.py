@@ -33,17 +33,19 @@ def split(
 def train_als(
     train: DataFrame, user: str, item: str, score: str, params: Mapping | None = None,
 ) -> ALSModel:
-    """Explicit-feedback ALS; rows of unseen users or items are dropped when predicting."""
+    """Explicit-feedback ALS; rows of unseen users or items are dropped when predicting.
+
+    Ids must be whole numbers in the int range (ALS checks); see ``index_labels``.
+    """
     ensure_checkpoint_dir(train.sparkSession)
     als = ALS(userCol=user, itemCol=item, ratingCol=score, coldStartStrategy="drop",
               implicitPrefs=False, **{**ALS_PARAMS, **(params or {})})
-    return als.fit(train.select(F.col(user).cast("int"), F.col(item).cast("int"), F.col(score).cast("float")))
+    return als.fit(train.select(user, item, F.col(score).cast("float")))
 
 
 def predict(model: ALSModel, test: DataFrame) -> DataFrame:
     """Test rows with a prediction."""
-    ids = {c: F.col(c).cast("int") for c in (model.getUserCol(), model.getItemCol())}
-    return model.transform(test.withColumns(ids)).where(F.col("prediction").isNotNull())
+    return model.transform(test).where(F.col("prediction").isNotNull())
 
 
 def recommend_all(model: ALSModel, n: int = 10, digits: int = 4) -> DataFrame:

@@ -56,9 +56,18 @@ def period_delta(
     return out
 
 
-def read_stream(spark: SparkSession, path: str, schema: T.StructType, files: str = "*.parquet") -> DataFrame:
-    """A stream of the Parquet files that are in a folder or arrive there."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", files).parquet(path)
+def read_stream(
+    spark: SparkSession, path: str, schema: T.StructType, files: str = "*.parquet",
+    files_per_batch: int | None = None,
+) -> DataFrame:
+    """A stream of the Parquet files that are in a folder or arrive there.
+
+    ``files_per_batch`` cuts a large backlog into several batches.
+    """
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", files)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
 
 
 def with_watermark(stream: DataFrame, ts: str, delay: str) -> DataFrame:
@@ -80,12 +89,17 @@ def stream_dedup(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) ->
 
 def append_stream(
     stream: DataFrame, path: str, checkpoint: str, day_of: str | None = None, name: str | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Append everything available to a Parquet history, exactly once across restarts."""
+    """Append a stream to a Parquet history, exactly once across restarts.
+
+    Takes what is available and ends; with ``every`` ("1 minute") it keeps running.
+    """
     if day_of:
         stream = stream.withColumn(DAY, F.to_date(day_of))
     writer = stream.writeStream.format("parquet").outputMode("append").option("path", path)
-    writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    writer = writer.option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     writer = writer.partitionBy(DAY) if day_of else writer
     writer = writer.queryName(name) if name else writer
     return writer.start()

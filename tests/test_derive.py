@@ -30,6 +30,9 @@ def test_primary_tag(spark):
     got = values(spark, tags, "a string", dv.primary_tag("a", "restaurant", presets.GENERIC_TAGS))
     assert got == ["cafe", "restaurant", "", "restaurant", "bar"]
     assert values(spark, ["x y"], "a string", dv.primary_tag("a", "d", sep=" ")) == ["x"]
+    spaced = ["  cafe  ,bar", "food ,  bar ,x", ",cafe", "food, ", "ice cream, bar"]
+    got = values(spark, spaced, "a string", dv.primary_tag("a", "d", presets.GENERIC_TAGS))
+    assert got == ["cafe", "bar", "", "", "ice cream"]
 
 
 def test_map_values(spark):

@@ -80,6 +80,17 @@ def test_stream_restart_appends_only_new_rows(spark, arriving, tmp_path):
     assert spark.read.parquet(out).count() == 160
 
 
+def test_backlog_in_several_batches(spark, arriving, tmp_path):
+    folder, schema, arrive = arriving
+    arrive(1)
+    arrive(2)
+    stream = hs.read_stream(spark, folder, schema, files_per_batch=1)
+    query = hs.append_stream(stream, str(tmp_path / "out"), str(tmp_path / "state"), day_of="ts", name="backlog")
+    query.awaitTermination()
+    assert len(query.recentProgress) >= 3
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 240
+
+
 def test_stream_dedup_within_the_delay(spark, arriving, tmp_path):
     folder, schema, arrive = arriving
     out, state = str(tmp_path / "out"), str(tmp_path / "state")

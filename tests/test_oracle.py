@@ -35,9 +35,18 @@ def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+def _check_plan(df, name):
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text and "Pandas" not in text
+    # Fitted recommenders score all pairs of factor blocks; that is Spark's own top-n.
+    if name != "als_model_reload":
+        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_same_as_sql(spark, duck, folder, name):
     df = entry.queries()[name](spark, folder)
+    _check_plan(df, name)
     found = duck.execute(entry.oracle_sql()[name])
     types = {d[0]: str(d[1]) for d in found.description}
     wanted = found.fetchall()
@@ -50,7 +59,9 @@ def test_same_as_sql(spark, duck, folder, name):
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
 def test_runs_without_sql(spark, folder, name):
-    assert entry.queries()[name](spark, folder).take(1)
+    df = entry.queries()[name](spark, folder)
+    _check_plan(df, name)
+    assert df.take(1)
 
 
 def test_entry(spark):

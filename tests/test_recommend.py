@@ -84,6 +84,12 @@ def test_recommender_run(spark, folder, tmp_path):
     assert back["als_params"]["rank"] == 10 and back["rmse"] == m["rmse"]
 
 
+def test_ids_beyond_int_are_refused(spark):
+    big = spark.createDataFrame([(2**40, 1, 3.0)], "u long, i int, s double")
+    with pytest.raises(Exception, match="Integer range|CAST_OVERFLOW"):
+        rc.train_als(big, "u", "i", "s")
+
+
 def test_recommendations_table_is_sorted(spark, folder):
     run = b.als_run(spark, folder)
     got = rows(rc.recommendations_table(run.model, b.parts_metadata(spark, folder), ["name"], 3))
