@@ -68,66 +68,53 @@ def quantiles(
         F.struct(*by, F.lit(0).alias("_all")).alias("_key"), "_v", "_n", _code(F.col("_v")).alias("_code"))
 
     # Step 1: rows per coarse interval; which intervals hold the wanted ranks.
-    total = F.sum("_n").over(Window.partitionBy(*keys))
-    ranks = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("q"),
-                F.lit(side).alias("side"),
-                (F.lit(float(p)) * (F.col("_total") - 1)).alias("at"),
-                edge(F.lit(float(p)) * (F.col("_total") - 1)).cast("bigint").alias("rank"),
-            )
-            for i, p in enumerate(probs)
-            for side, edge in enumerate([F.floor, F.ceil])
-        ]
-    )
+    position = [F.lit(float(p)) * (F.col("_total") - 1) for p in probs]
+    ranks = F.array(*[
+        F.struct(F.lit(i).alias("_q"), F.lit(side).alias("_side"), (at - F.floor(at)).alias("_frac"),
+                 edge(at).cast("bigint").alias("_at"))
+        for i, at in enumerate(position) for side, edge in enumerate([F.floor, F.ceil])
+    ])
+    before = F.col("_upto") - F.col("_n")
+    spot = [*keys, "_q", "_side", "_frac"]
     shift = _SHIFTS[0]
     wanted = (
-        counts.groupBy(*keys, F.shiftright("_code", shift).alias("_part"))
-        .agg(F.sum("_n").alias("_n"))
-        .withColumn("_upto", _running(keys, "_part"))
-        .withColumn("_total", total)
-        .withColumn("_before", F.col("_upto") - F.col("_n"))
-        .withColumn("_w", F.explode(F.filter(
-            ranks, lambda r: (r["rank"] >= F.col("_before")) & (r["rank"] < F.col("_upto")))))
-        .select(
-            *keys, "_part",
-            F.col("_w.q").alias("_q"), F.col("_w.side").alias("_side"),
-            (F.col("_w.at") - F.floor("_w.at")).alias("_frac"),
-            (F.col("_w.rank") - F.col("_before")).alias("_rank"),
-        )
+        counts.groupBy(*keys, F.shiftright("_code", shift).alias("_part")).agg(F.sum("_n").alias("_n"))
+        .select(*keys, "_part", "_n", _running(keys, "_part").alias("_upto"),
+                F.sum("_n").over(Window.partitionBy(*keys)).alias("_total"))
+        .select(*keys, "_part", before.alias("_before"), F.inline(F.filter(
+            ranks, lambda r: (r["_at"] >= before) & (r["_at"] < F.col("_upto")))))
+        .select(*spot, "_part", (F.col("_at") - F.col("_before")).alias("_rank"))
     )
 
     # Step 2: the same inside the chosen intervals, each time much finer.
-    spot = [*keys, "_q", "_side", "_frac", "_rank"]
     for finer in _SHIFTS[1:]:
-        inside = _within(counts.withColumn("_part", F.shiftright("_code", shift)), wanted, keys, few_groups or not by)
         wanted = (
-            inside.groupBy(*spot, F.shiftright("_code", finer).alias("_part"))
-            .agg(F.sum("_n").alias("_n"))
-            .withColumn("_upto", _running([*keys, "_q", "_side"], "_part"))
-            .withColumn("_before", F.col("_upto") - F.col("_n"))
-            .where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_upto")))
-            .select(*keys, "_part", "_q", "_side", "_frac", (F.col("_rank") - F.col("_before")).alias("_rank"))
+            _within(counts, shift, wanted, keys, few_groups or not by)
+            .groupBy(*spot, "_rank", F.shiftright("_code", finer).alias("_part")).agg(F.sum("_n").alias("_n"))
+            .select(*spot, "_part", "_n", "_rank", _running([*keys, "_q", "_side"], "_part").alias("_upto"))
+            .where((F.col("_rank") >= before) & (F.col("_rank") < F.col("_upto")))
+            .select(*spot, "_part", (F.col("_rank") - before).alias("_rank"))
         )
         shift = finer
 
     # Step 3: rank the values of the last interval.
     found = (
-        _within(counts.withColumn("_part", F.shiftright("_code", shift)), wanted, keys, few_groups or not by)
-        .withColumn("_upto", _running([*keys, "_q", "_side"], "_v"))
-        .where((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n")))
+        _within(counts, shift, wanted, keys, few_groups or not by)
+        .select(*spot, "_v", "_n", "_rank", _running([*keys, "_q", "_side"], "_v").alias("_upto"))
+        .where((F.col("_rank") >= before) & (F.col("_rank") < F.col("_upto")))
     )
-    at = lambda i, side: F.max(F.when((F.col("_q") == i) & (F.col("_side") == side), F.col("_v")))
     picked = []
     for i, name in enumerate(names):
-        low, frac = at(i, 0), F.max(F.when(F.col("_q") == i, F.col("_frac")))
-        picked.append((low * (1.0 - frac) + at(i, 1) * frac if interpolate else low).alias(name))
+        low, high = (F.max(F.when((F.col("_q") == i) & (F.col("_side") == side), F.col("_v"))) for side in (0, 1))
+        frac = F.max(F.when(F.col("_q") == i, F.col("_frac")))
+        between = F.when(frac > 0, low * (1.0 - frac) + high * frac).otherwise(low)
+        picked.append((between if interpolate else low).alias(name))
     return found.groupBy(*keys).agg(*picked).select(*[F.col(f"_key.`{c}`").alias(c) for c in by], *names)
 
 
-def _within(counts: DataFrame, wanted: DataFrame, keys: list[str], few: bool) -> DataFrame:
+def _within(counts: DataFrame, shift: int, wanted: DataFrame, keys: list[str], few: bool) -> DataFrame:
     """Values lying in the wanted intervals."""
+    counts = counts.select("*", F.shiftright("_code", shift).alias("_part"))
     on = [*keys, "_part"]
     if few:
         # Two ranks per group and requested quantile, whatever the size of the table.

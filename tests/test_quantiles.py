@@ -43,6 +43,12 @@ def test_many_distinct_values_in_one_interval(spark):
     assert rows(quantiles(df, "v", PROBS))[0] == pytest.approx(tuple(np.quantile(data, PROBS)), rel=1e-15)
 
 
+def test_infinite_values(spark):
+    data = [-math.inf, -math.inf, 1.0, math.inf, math.inf]
+    df = spark.createDataFrame([(x,) for x in data], "v double")
+    assert rows(quantiles(df, "v", [0.0, 0.25, 0.5, 0.75, 1.0])) == [tuple(data)]
+
+
 def test_lower_rank_and_no_values(spark):
     df = spark.createDataFrame([(float(i),) for i in range(1, 11)], "v double")
     assert rows(quantiles(df, "v", [0.5], interpolate=False)) == [(5.0,)]
