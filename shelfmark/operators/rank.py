@@ -28,7 +28,8 @@ def top_n_per_group(
     """The first ``n`` rows of each group with their rank.
 
     Spark cuts each group to ``n`` rows before the shuffle, so a huge group
-    sends at most ``n`` rows per task.
+    sends at most ``n`` rows per task (for ``n`` up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000 unless set).
     """
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n)
