@@ -1,37 +1,48 @@
 """Where intermediate tables and checkpoints go.
 
-A cluster names its shared folder in ``spark.checkpoint.dir``. Only a local
-session without that setting falls back to a temporary folder.
+A cluster names its shared folder in ``spark.checkpoint.dir``. Where that is
+unset, the warehouse folder takes them: the session names it, and every executor
+can reach it as well. What lies below the folder of a session is deleted when the
+session's JVM ends.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_dir: str | None = None
-
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read and write."""
-    global _local_dir
     named = spark.conf.get("spark.checkpoint.dir", None)
     named = named or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     named = named or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if _local_dir is None:
-        _local_dir = tempfile.mkdtemp(prefix="shelfmark-")
-    return _local_dir
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+
+
+def _session_dir(spark: SparkSession) -> str:
+    """This session's own folder in the shared one; it goes when the JVM ends."""
+    folder = f"{shared_dir(spark)}/shelfmark/{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not files.exists(path):
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, used by nobody else."""
-    return f"{shared_dir(spark)}/shelfmark/{name}-{uuid.uuid4().hex}"
+    return f"{_session_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete what was written at a scratch path and is no longer read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -48,4 +59,4 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Iterative fits cut their lineage only if the context knows a folder."""
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(f"{shared_dir(spark)}/shelfmark/checkpoints")
+        spark.sparkContext.setCheckpointDir(f"{_session_dir(spark)}/checkpoints")
