@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm.bpe import encode_digests
+from shelfmark.llm.chat import chat_digests
 from shelfmark.llm.exact_dedup import exact_duplicates
 from shelfmark.llm.packing import pack
+from shelfmark.llm.quality import fit, held_out, score
 from shelfmark.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +61,34 @@ def op9(spark, folder):
 @query("op10_bpe_round_trip")
 def op10(spark, folder):
     return encode_digests(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op1_quality_scores")
+def op1(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    weights = fit(docs, table(spark, folder, "labels"))
+    return score(docs, weights).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query("op3_chat_format", """
+with c as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e as (
+  select *, length(text) + length(regexp_replace(text, '([^\\\\]|\\n)', '', 'g'))
+    + len(regexp_extract_all(text, '\\[INST\\]|\\[/INST\\]|</s>|<s>|\\[ROLE\\]|\\[TEXT\\]|\\[/ROLE\\]')) as n
+  from c)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  sum(case role when 'user' then n + 15 when 'assistant' then n + 4 else n + length(role) + 23 end)::bigint
+    as formatted_chars
+from e group by conv_id""")
+def op3(spark, folder):
+    said = F.lit("</s>[INST] ok [/INST]")
+    probe = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_digests(rows.unionByName(probe))
