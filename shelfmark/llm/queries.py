@@ -14,6 +14,7 @@ from shelfmark.llm.exact_dedup import exact_duplicates
 from shelfmark.llm.packing import pack
 from shelfmark.llm.quality import fit, held_out, score
 from shelfmark.llm.token_counts import count_tokens
+from shelfmark.llm.topk import top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,3 +93,19 @@ def op3(spark, folder):
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     return chat_digests(rows.unionByName(probe))
+
+
+@query("op2_pivot_top_k", """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+  where embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+s as (
+  select q.vec_id as query_id, c.vec_id,
+    list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
+  from v q join v c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, rank::int as rank, vec_id, score from r where rank <= 5""")
+def op2(spark, folder):
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5, scale=256)
