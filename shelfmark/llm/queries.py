@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shelfmark.llm.bpe import encode_digests
 from shelfmark.llm.chat import chat_digests
 from shelfmark.llm.exact_dedup import exact_duplicates
+from shelfmark.llm.line_dedup import BLOCKS, MIN_PAGES, RATIO, drop_boilerplate, host_of, lines_of
 from shelfmark.llm.packing import pack
 from shelfmark.llm.quality import fit, held_out, score
 from shelfmark.llm.token_counts import count_tokens
@@ -109,3 +110,33 @@ select query_id, rank::int as rank, vec_id, score from r where rank <= 5""")
 def op2(spark, folder):
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
     return top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5, scale=256)
+
+
+HTML_LINES = rf"""
+select row_number() over () as row, page_id,
+  lower(coalesce(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1), '')) as host,
+  list_filter(list_transform(regexp_split_to_array(
+    regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
+      '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'),
+      '(?i)</?({BLOCKS})( [^>]*)?/?>', chr(10), 'g'), '<[^>]*>', '', 'g'), '[\n\r]'),
+    lambda x: regexp_replace(x, '^[ \t]+|[ \t]+$', '', 'g')), lambda x: x <> '') as lines
+from pages"""
+
+
+@query("op5_site_boilerplate", f"""
+with p as ({HTML_LINES}),
+l as (select row, host, generate_subscripts(lines, 1) as at, unnest(lines) as line from p),
+b as (
+  select host, line from l where host <> '' group by host, line
+  having count(distinct row) >= {MIN_PAGES}
+    and count(distinct row) > {RATIO} * (select count(*) from p as q where q.host = l.host)),
+k as (
+  select l.row, string_agg(l.line, chr(10) order by l.at) as text, count(*) as n from l
+  where not exists (select 1 from b where b.host = l.host and b.line = l.line) group by l.row)
+select p.page_id, p.host, len(p.lines)::int as n_lines, (len(p.lines) - coalesce(k.n, 0))::int as n_dropped,
+  coalesce(k.text, '') as text
+from p left join k on p.row = k.row""")
+def op5(spark, folder):
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    out = drop_boilerplate(pages, host_of(F.col("url")), lines_of(F.col("html")))
+    return out.select("page_id", "host", "n_lines", "n_dropped", F.array_join("lines", "\n").alias("text"))
