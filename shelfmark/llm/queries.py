@@ -12,6 +12,7 @@ from shelfmark.llm.bpe import encode_digests
 from shelfmark.llm.chat import chat_digests
 from shelfmark.llm.exact_dedup import exact_duplicates
 from shelfmark.llm.line_dedup import BLOCKS, MIN_PAGES, RATIO, drop_boilerplate, host_of, lines_of
+from shelfmark.llm.minhash import near_duplicates
 from shelfmark.llm.packing import pack
 from shelfmark.llm.quality import fit, held_out, score
 from shelfmark.llm.token_counts import count_tokens
@@ -140,3 +141,8 @@ def op5(spark, folder):
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     out = drop_boilerplate(pages, host_of(F.col("url")), lines_of(F.col("html")))
     return out.select("page_id", "host", "n_lines", "n_dropped", F.array_join("lines", "\n").alias("text"))
+
+
+@query("op4_odd_sketch_near_dedup")
+def op4(spark, folder):
+    return near_duplicates(table(spark, folder, "documents"), shingle=3, percent=85)
