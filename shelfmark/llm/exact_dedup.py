@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.golomb import bitmap, decode, encode, unbitmap
+from shelfmark.llm import exchange
 from shelfmark.llm.parts import PartTable, binary, texts_of
 from shelfmark.sources.staging import stage
 
@@ -32,48 +32,20 @@ def _digests(texts: pa.Array) -> tuple[pa.Array, list[bytes], np.ndarray]:
     return lowered, digests, keys
 
 
-def _owner(keys: np.ndarray, owners: int) -> np.ndarray:
-    return ((keys >> np.uint64(32)) * np.uint64(owners) >> np.uint64(32)).astype(np.int64)
-
-
 def _messages(texts: str, owners: int):
     def send(part: pa.Table) -> pa.Table:
         _, _, keys = _digests(texts_of(part.column(texts)))
         distinct, counts = np.unique(keys, return_counts=True)
-        to = _owner(distinct, owners)
-        cuts = np.searchsorted(to, np.arange(owners + 1))
-        here = [o for o in range(owners) if cuts[o] < cuts[o + 1]]
-        return pa.table({
-            "part": pa.array([part.column("part")[0].as_py()] * len(here), pa.int32()),
-            "owner": pa.array(here, pa.int32()),
-            "keys": binary([encode(distinct[cuts[o]:cuts[o + 1]]) for o in here]),
-            "twice": binary([bitmap(counts[cuts[o]:cuts[o + 1]] > 1) for o in here]),
-        })
+        return exchange.messages(part.column("part")[0].as_py(), distinct, counts > 1, owners, 64)
 
     return send
 
 
-def _judge(messages: pa.Table) -> pa.Table:
-    """For each message, which of its fingerprints occur in another one or twice in its own part."""
-    lists = [decode(b) for b in messages.column("keys").to_pylist()]
-    seen, counts = np.unique(np.concatenate(lists), return_counts=True)
-    shared = seen[counts > 1]
-    marks = []
-    for keys, twice in zip(lists, messages.column("twice").to_pylist(), strict=True):
-        at = np.searchsorted(shared, keys)
-        hit = shared[np.minimum(at, len(shared) - 1)] == keys if len(shared) else np.zeros(len(keys), bool)
-        marks.append(bitmap(hit | unbitmap(twice, len(keys))))
-    return pa.table({"part": messages.column("part"), "owner": messages.column("owner"), "marks": binary(marks)})
-
-
 def _suspects(doc_id: str, texts: str, owners: int):
     def mark(part: pa.Table, answers: pa.Table) -> pa.Table:
         lowered, digests, keys = _digests(texts_of(part.column(texts)))
         distinct, back = np.unique(keys, return_inverse=True)
-        sizes = np.bincount(_owner(distinct, owners), minlength=owners)
-        by_owner = dict(zip(answers.column("owner").to_pylist(), answers.column("marks").to_pylist(), strict=True))
-        marks = [unbitmap(by_owner[o], int(sizes[o])) for o in range(owners) if sizes[o]]
-        shared = np.concatenate(marks)[back] if marks else np.zeros(0, bool)
+        shared = exchange.marked(distinct, answers, owners, 64)[back]
         text = pc.if_else(pa.array(shared), lowered, pa.scalar(None, pa.string()))
         return pa.table({
             "row": part.column("row"), "doc_id": part.column(doc_id),
@@ -89,8 +61,8 @@ def decide(table: PartTable, doc_id: str = "doc_id", texts: str = "text") -> Dat
     the one with the largest doc_id stays, of these the one with the largest key.
     """
     owners = max(1, -(-table.rows.count() // KEYS_PER_OWNER))
-    messages = table.each([texts], _messages(texts, owners), "part int, owner int, keys binary, twice binary")
-    answers = messages.groupBy("owner").applyInArrow(_judge, "part int, owner int, marks binary")
+    messages = table.each([texts], _messages(texts, owners), exchange.MESSAGE)
+    answers = messages.groupBy("owner").applyInArrow(exchange.judge, exchange.ANSWER)
     id_type = table.rows.schema[doc_id].dataType.simpleString()
     seen = stage(
         table.each_with([doc_id, texts], stage(answers, "marks"), _suspects(doc_id, texts, owners),

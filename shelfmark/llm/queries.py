@@ -15,6 +15,7 @@ from shelfmark.llm.line_dedup import BLOCKS, MIN_PAGES, RATIO, drop_boilerplate,
 from shelfmark.llm.minhash import near_duplicates
 from shelfmark.llm.packing import pack
 from shelfmark.llm.quality import fit, held_out, score
+from shelfmark.llm.suffix_dedup import suffix_duplicates
 from shelfmark.llm.token_counts import count_tokens
 from shelfmark.llm.topk import top_k
 
@@ -146,3 +147,9 @@ def op5(spark, folder):
 @query("op4_odd_sketch_near_dedup")
 def op4(spark, folder):
     return near_duplicates(table(spark, folder, "documents"), shingle=3, percent=85)
+
+
+@query("op8_suffix_dedup")
+def op8(spark, folder):
+    return suffix_duplicates(table(spark, folder, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
