@@ -63,7 +63,7 @@ def decide(table: PartTable, doc_id: str = "doc_id", texts: str = "text") -> Dat
     owners = max(1, -(-table.rows.count() // KEYS_PER_OWNER))
     messages = table.each([texts], _messages(texts, owners), exchange.MESSAGE)
     answers = messages.groupBy("owner").applyInArrow(exchange.judge, exchange.ANSWER)
-    id_type = table.rows.schema[doc_id].dataType.simpleString()
+    id_type = table.kind(doc_id)
     seen = stage(
         table.each_with([doc_id, texts], stage(answers, "marks"), _suspects(doc_id, texts, owners),
                         f"row long, doc_id {id_type}, sha binary, text string"), "seen")

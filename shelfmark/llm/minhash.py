@@ -191,7 +191,7 @@ class NearDuplicates:
         component_id is the smallest doc_id of all rows that links lead to, keep_row
         the key of the row that has it (the smallest key of several).
         """
-        id_type = self.table.rows.schema["doc_id"].dataType.simpleString()
+        id_type = self.table.kind("doc_id")
         signed = stage(self.table.each(
             ["doc_id", "text"], _signatures(self.shingle, self.bands),
             f"row long, doc_id {id_type}, n long, set_key binary, bands array<bigint>, sketch array<bigint>"), "signed")

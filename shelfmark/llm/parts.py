@@ -16,22 +16,24 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 
 class PartTable:
     """A written copy of ``df`` with ``row``, a key no two rows share, and ``part``.
 
-    A part is what one task wrote, so its size is that of an input partition.
-    Columns of ``df`` that have one of these two names are not carried along.
+    A part is what one task wrote, so its size is that of an input partition. The
+    columns of ``df`` are written under numbers, so their names may be any.
     """
 
     def __init__(self, df: DataFrame, name: str):
         self.spark = df.sparkSession
         self.name = f"llm_{name}_{uuid.uuid4().hex}"
-        self.columns = [c for c in df.columns if c.lower() not in ("row", "part")]
+        self.columns = df.columns
+        self.kinds = [f.dataType for f in df.schema.fields]
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         (
-            df.select(*[F.col(f"`{c}`") for c in self.columns])
+            df.toDF(*[f"c{i}" for i in range(len(self.columns))])
             .withColumn("row", F.monotonically_increasing_id())
             .withColumn("part", F.shiftright("row", 33).cast("int"))
             .write.bucketBy(buckets, "part").saveAsTable(self.name)
@@ -42,30 +44,37 @@ class PartTable:
         """Delete the copy, once the results that read it are written."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
+    def kind(self, column: str) -> str:
+        return self.kinds[self.columns.index(column)].simpleString()
+
+    def pick(self, cols: list[str]) -> DataFrame:
+        """row, part and the named columns."""
+        return self.rows.select("row", "part", *[F.col(f"c{self.columns.index(c)}").alias(c) for c in cols])
+
     def each(self, cols: list[str], fn: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
         """``fn`` over each part, its rows in the order of their key."""
-        picked = self.rows.select("row", "part", *[F.col(f"`{c}`") for c in cols])
-        return picked.groupBy("part").applyInArrow(lambda part: fn(part.sort_by("row")), schema)
+        return self.pick(cols).groupBy("part").applyInArrow(lambda part: fn(part.sort_by("row")), schema)
 
     def each_with(
         self, cols: list[str], answers: DataFrame, fn: Callable[[pa.Table, pa.Table], pa.Table], schema: str
     ) -> DataFrame:
         """``fn`` over each part and the rows of ``answers`` that name it in their column ``part``."""
-        picked = self.rows.select("row", "part", *[F.col(f"`{c}`") for c in cols])
-        return picked.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
+        return self.pick(cols).groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
             lambda part, own: fn(part.sort_by("row"), own), schema)
 
+    def rewrite(self, answers: DataFrame, fn: Callable[[pa.Table, pa.Table], pa.Table]) -> DataFrame:
+        """The table in the columns it came with, each part (under c0, c1, ...) as ``fn`` leaves it."""
+        names = [f"c{i}" for i in range(len(self.columns))]
+        schema = StructType([StructField(n, k) for n, k in zip(names, self.kinds, strict=True)])
+        out = self.rows.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
+            lambda part, own: fn(part.sort_by("row"), own).select(names), schema)
+        return out.toDF(*self.columns)
+
     def keep(self, chosen: DataFrame) -> DataFrame:
         """The rows of the table whose key is among ``chosen``'s ``row``, in the columns they came with."""
-        fields = {f.name: f for f in self.rows.schema.fields}
-        schema = ", ".join(f"`{c}` {fields[c].dataType.simpleString()}" for c in self.columns)
-        columns = self.columns
         answers = chosen.select("row", F.shiftright("row", 33).cast("int").alias("part"))
-
-        def pick(part: pa.Table, own: pa.Table) -> pa.Table:
-            return part.filter(pc.is_in(part.column("row"), value_set=own.column("row"))).select(columns)
-
-        return self.each_with(columns, answers, pick, schema)
+        return self.rewrite(answers, lambda part, own: part.filter(
+            pc.is_in(part.column("row"), value_set=own.column("row").combine_chunks())))
 
 
 def texts_of(column: pa.ChunkedArray | pa.Array) -> pa.Array:
@@ -85,7 +94,7 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def spans(texts: pa.Array, limit: int = 8 << 20) -> list[tuple[int, int]]:
+def spans(texts: pa.Array, limit: int = 1 << 20) -> list[tuple[int, int]]:
     """Runs [i, j) of texts with about ``limit`` bytes each; a longer text is a run of its own."""
     if not len(texts):
         return []

@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from shelfmark.llm.parts import spans, text_bytes, texts_of
 from shelfmark.llm.words import keys, mix, sums, word_spans
@@ -134,20 +135,31 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     return out.astype(np.float32)
 
 
+def _scored(docs: DataFrame, weights: np.ndarray, add, kinds: list[StructField]) -> DataFrame:
+    """``docs`` with what ``add`` makes of each batch and its scores; columns travel under numbers."""
+    sent = docs.sparkSession.sparkContext.broadcast(weights)
+    place = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            yield add(batch, scores(texts_of(batch.column(place)), sent.value))
+
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    fields = [StructField(n, f.dataType) for n, f in zip(names, docs.schema.fields, strict=True)]
+    return docs.toDF(*names).mapInArrow(run, StructType([*fields, *kinds])).toDF(*docs.columns, *[k.name for k in kinds])
+
+
 def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """``docs`` with score and predicted (1 from 0.5 on); other columns of these names are replaced.
+    """``docs`` (doc_id, text, any others) with score and predicted (1 from 0.5 on) behind its columns.
 
     Null texts are scored as empty ones; repeated rows are scored each.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(weights)
-    plain = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("score", "predicted")])
-    place = [c.lower() for c in plain.columns].index("text")
+    def add(batch, p):
+        return batch.append_column("score", pa.array(p)).append_column("predicted", pa.array((p >= 0.5).astype(np.int32)))
+
+    return _scored(docs, weights, add, [StructField("score", DoubleType()), StructField("predicted", IntegerType())])
 
-    def run(batches):
-        for batch in batches:
-            p = scores(texts_of(batch.column(place)), sent.value)
-            yield batch.append_column("score", pa.array(p)).append_column(
-                "predicted", pa.array((p >= 0.5).astype(np.int32)))
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
-    return plain.mapInArrow(run, f"{kinds}, score double, predicted int")
+def keep_good(docs: DataFrame, weights: np.ndarray) -> DataFrame:
+    """The rows of ``docs`` that score at least 0.5, in its own columns."""
+    return _scored(docs, weights, lambda batch, p: batch.filter(pa.array(p >= 0.5)), [])

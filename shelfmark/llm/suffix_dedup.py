@@ -252,7 +252,8 @@ def remove_repeats(table: PartTable) -> DataFrame:
     """Per row of ``table`` (doc_id, text): row, n_bytes, n_removed, n_spans, kept (the bytes left)."""
     least = -(1 << 63)
     number = F.coalesce(F.col("doc_id").cast("long"), F.lit(least))
-    signed = stage(table.each(["doc_id", "text"], _digests, f"row long, part int, doc_id {table.rows.schema['doc_id'].dataType.simpleString()}, size long, digest binary").withColumn("doc_id", number), "digests")
+    kind = f"row long, part int, doc_id {table.kind('doc_id')}, size long, digest binary"
+    signed = stage(table.each(["doc_id", "text"], _digests, kind).withColumn("doc_id", number), "digests")
     # Whole copies need no suffixes: all their strings start in the smallest document as well.
     firsts = stage(signed.groupBy("digest").agg(F.min("doc_id").alias("first")), "firsts")
     copies = stage(signed.join(firsts, "digest").where("doc_id > first").select("part", "row"), "copies")
@@ -289,8 +290,7 @@ def suffix_duplicates(docs: DataFrame, doc_id: str = "doc_id", texts: str = "tex
     """
     table = PartTable(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{texts}`").alias("text")), "suffix")
     cut = stage(remove_repeats(table), "cut")
-    ids = table.rows.select("row", "doc_id")
-    out = stage(ids.join(cut, "row").drop("row"), "suffix")
+    out = stage(table.pick(["doc_id"]).select("row", "doc_id").join(cut, "row").drop("row"), "suffix")
     table.drop()
     return out
 
@@ -302,19 +302,17 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     """
     table = PartTable(docs, "suffix")
     cut = stage(remove_repeats(table).where("n_removed > 0").select("row", "kept"), "cut")
-    columns = table.columns
-    kinds = {f.name: f.dataType.simpleString() for f in table.rows.schema.fields}
+    place = f"c{table.columns.index('text')}"
 
     def put(part: pa.Table, changed: pa.Table) -> pa.Table:
         new = dict(zip(changed.column("row").to_pylist(), changed.column("kept").to_pylist(), strict=True))
-        old = part.column("text").to_pylist()
-        texts = [new[r].decode("utf-8", "ignore") if r in new else t for r, t in zip(part.column("row").to_pylist(), old, strict=True)]
-        return part.set_column(part.schema.get_field_index("text"), "text", pa.array(texts, pa.string())).select(columns)
-
-    out = table.each_with(columns, cut.withColumn("part", F.shiftright("row", 33).cast("int")), put,
-                          ", ".join(f"`{c}` {kinds[c]}" for c in columns))
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(kinds["n_chars"]))
+        texts = [new[r].decode("utf-8", "ignore") if r in new else t
+                 for r, t in zip(part.column("row").to_pylist(), part.column(place).to_pylist(), strict=True)]
+        return part.set_column(part.schema.get_field_index(place), place, pa.array(texts, pa.string()))
+
+    out = table.rewrite(cut.withColumn("part", F.shiftright("row", 33).cast("int")), put)
+    if "n_chars" in table.columns:
+        out = out.withColumn("n_chars", F.char_length("text").cast(table.kind("n_chars")))
     out = stage(out, "cut")
     table.drop()
     return out
