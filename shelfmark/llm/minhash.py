@@ -198,7 +198,7 @@ class NearDuplicates:
         some = signed.where(F.col("set_key").isNotNull())
         # Rows of one set have the same bands and sketch; a task sends one row per set.
         nodes = stage(some.groupBy("set_key").agg(
-            F.min(F.struct("doc_id", "row")).alias("best"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+            F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("best"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
             .select(F.col("best.row").alias("node"), "best", "set_key", "bands", "sketch"), "nodes")
         keyed = nodes.select("node", "sketch", F.explode("bands").alias("key"))
         shared = stage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
@@ -240,13 +240,15 @@ def near_duplicates(
     Rows are linked when their sets of ``shingle``-word shingles share at least
     ``percent`` of 100; ``misses`` bounds the share of pairs just that similar that are
     not found. Null, empty and wordless texts have no shingle and no link. Equal sets
-    are always linked. An empty table gives an empty result.
+    are always linked. A row without doc_id names a component only if all its rows are
+    such. An empty table gives an empty result.
     """
     table = PartTable(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{texts}`").alias("text")), "near")
     signed, classes = NearDuplicates(table, shingle, percent, misses).classes()
     out = stage(signed.select("row", "doc_id", "n", "set_key").join(classes, "set_key", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")), "near")
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), "near")
     table.drop()
     return out
 

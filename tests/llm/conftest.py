@@ -1,0 +1,15 @@
+import pytest
+from plain import BASE, TEXTS
+
+SCHEMA = "doc_id long, text string, row string, part string, score string, n_chars long"
+
+@pytest.fixture(scope="session")
+def odd_docs(spark):
+    """Nulls, empty and very long texts, ties, a repeated row, and columns named like those used inside."""
+    rows = [(d, t, "r", "p", "s", None) for d, t in TEXTS.items()] + [(15, BASE, "r", "p", "s", 1), (None, BASE, "r", "p", "s", 2)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3, "doc_id")
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], SCHEMA)
