@@ -117,8 +117,8 @@ class WordCodec:
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        library = Tokenizer.from_file(path)
-        # The library's tables of Unicode normalisation and letter classes; it does not merge here.
+        # The library's tables of Unicode normalisation and letter classes; without words it does not merge.
+        library = Tokenizer.from_str(json.dumps({**spec, "model": {**spec["model"], "vocab": {}, "merges": []}, "added_tokens": []}))
         self.normal, self.words = library.normalizer, library.pre_tokenizer
         model = spec["model"]
         vocab: dict[str, int] = model["vocab"]
@@ -136,9 +136,8 @@ class WordCodec:
         self.pairs = Pairs([vocab[a] for a, _ in merges], [vocab[b] for _, b in merges],
                            [vocab[a + b] for a, b in merges])
         strings = {i: s for s, i in (vocab | self.added).items()}
-        self.strings = [(strings.get(i, "") + " ").encode() for i in range(max(strings) + 1)]
-        self.string_ends = np.cumsum([0, *map(len, self.strings)])
-        self.string_bytes = np.frombuffer(b"".join(self.strings), np.uint8)
+        self.size = max(strings) + 1
+        self.strings = pa.array([(strings.get(i, "") + " ").encode() for i in range(self.size)], pa.large_binary())
         self.memory = Memory(self._encode, np.int32)
 
     def pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -153,7 +152,7 @@ class WordCodec:
         owners, found, counts = [], [], []
         for w in np.unique(width):
             group = np.flatnonzero(width == w)
-            step = 16384 if w else 1
+            step = 4096 if w else 1
             for rows in (group[i:i + step] for i in range(0, len(group), step)):
                 at = np.arange(sizes[rows].max())
                 inside = at < sizes[rows][:, None]
@@ -211,9 +210,9 @@ class WordCodec:
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> Iterator[memoryview]:
         """Each text's tokens with a blank between, as the library does where a file names no decoder."""
-        sizes = np.diff(self.string_ends)[ids]
-        data = ragged(self.string_bytes, self.string_ends[ids], sizes)
-        ends = np.concatenate([[0], np.cumsum(sizes)])
+        picked = self.strings.take(pa.array(ids))
+        ends = np.frombuffer(picked.buffers()[1], np.int64)[:len(ids) + 1]
+        data = picked.buffers()[2] or b""
         view = memoryview(data)
         for i, j in zip(ends[offsets[:-1]], ends[offsets[1:]], strict=True):
             yield view[i:max(i, j - 1)]

@@ -102,7 +102,7 @@ class Schedule:
 
 @functools.lru_cache(maxsize=8)
 def _width(path: str) -> str:
-    return "<u2" if len(codec(path).strings) <= 1 << 16 else "<u4"
+    return "<u2" if codec(path).size <= 1 << 16 else "<u4"
 
 
 def _tokens(docs: DataFrame, path: str, end_id: int, doc_id: str, texts: str, source: str) -> DataFrame:

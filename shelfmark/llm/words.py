@@ -16,6 +16,8 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 # Words of more bytes than this are hashed one by one.
 SHORT = 64
+# New words are worked out in groups of this size, which bounds what that takes.
+AT_ONCE = 1 << 13
 MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD))
 
@@ -135,7 +137,7 @@ class Memory:
     whatever the number of different words.
     """
 
-    def __init__(self, work_out: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], dtype, limit: int = 1 << 21):
+    def __init__(self, work_out: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], dtype, limit: int = 1 << 19):
         self.work_out, self.dtype, self.limit = work_out, dtype, limit
         self._clear()
 
@@ -157,8 +159,10 @@ class Memory:
                 self._clear()
                 return self.look_up(data, starts, ends)
             whole = data.tobytes()
-            values, sizes = self.work_out([whole[i:j] for i, j in zip(starts[first], ends[first], strict=True)])
-            self._enter(a[first], b[first], values, sizes)
+            for at in range(0, len(first), AT_ONCE):
+                some = first[at:at + AT_ONCE]
+                values, sizes = self.work_out([whole[i:j] for i, j in zip(starts[some], ends[some], strict=True)])
+                self._enter(a[some], b[some], values, sizes)
             found = self.table.find(a, b)
         sizes = np.diff(self.ends)[found]
         return ragged(self.values, self.ends[found], sizes), sizes
