@@ -139,8 +139,9 @@ select p.page_id, p.host, len(p.lines)::int as n_lines, (len(p.lines) - coalesce
   coalesce(k.text, '') as text
 from p left join k on p.row = k.row""")
 def op5(spark, folder):
-    pages = table(spark, folder, "pages").select("page_id", "url", "html")
-    out = drop_boilerplate(pages, host_of(F.col("url")), lines_of(F.col("html")))
+    pages = table(spark, folder, "pages").select(
+        "page_id", host_of(F.col("url")).alias("host"), lines_of(F.col("html")).alias("lines"))
+    out = drop_boilerplate(pages, F.col("host"), F.col("lines"))
     return out.select("page_id", "host", "n_lines", "n_dropped", F.array_join("lines", "\n").alias("text"))
 
 
