@@ -11,7 +11,6 @@ from shelfmark.functions.derive import steady_round
 from shelfmark.operators.aggregate import count_by
 from shelfmark.operators.joins import skew_join
 from shelfmark.operators.quantiles import quantiles, value_counts
-from shelfmark.sources.staging import stage
 
 
 def share(df: DataFrame, col: str, digits: int = 1) -> DataFrame:
@@ -94,23 +93,18 @@ def mean_cells(
 
 
 def pivot_mean(
-    df: DataFrame, row: str, col: str, value: str, digits: int = 2, min_rows: int = 2,
-    values: Sequence | None = None, max_columns: int = 1000,
+    df: DataFrame, row: str, col: str, value: str, values: Sequence, digits: int = 2, min_rows: int = 0,
 ) -> DataFrame:
-    """Rounded means as a wide table, one column per filled column value (heat map).
+    """Rounded means as a wide table with the given column values as columns (heat map).
 
-    Rows whose only columns were left out stay, as empty rows. With ``values``
-    the columns are those, filled or not. Without, the names come from the data:
-    the means are then staged first; more than ``max_columns`` names are an
-    error, as nobody can draw that (``mean_cells`` has no such limit).
+    With ``min_rows``, only those of ``values`` that are filled in that many rows.
+    ``mean_cells`` has the same in long form for column values that are not known.
     """
     cells = _all_cells(df, row, col, value, digits)
-    if values is None:
-        cells = stage(cells, "cells")
-        found = _filled_columns(cells, col, min_rows).orderBy(col).take(max_columns + 1)
-        if len(found) > max_columns:
-            raise ValueError(f"{col} has more than {max_columns} values; use mean_cells instead")
-        values = [r[0] for r in found]
+    if min_rows:
+        # At most as many names as were given.
+        filled = _filled_columns(cells.where(F.col(col).isin(list(values))), col, min_rows).collect()
+        values = [v for v in values if v in {r[0] for r in filled}]
     wide = [F.max(F.when(F.col(col) == F.lit(v), F.col("mean"))).alias(str(v)) for v in values]
     return cells.groupBy(row).agg(*wide) if wide else cells.select(row).distinct()
 

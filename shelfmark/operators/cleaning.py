@@ -50,7 +50,7 @@ def medians(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFra
     if approx:
         each = approx_quantiles(long, "_value", [0.5], by=["_column"], names=["_median"])
     else:
-        each = quantiles(long, "_value", [0.5], by=["_column"], names=["_median"], few_groups=True)
+        each = quantiles(long, "_value", [0.5], by=["_column"], names=["_median"])
     return each.agg(*[F.max(F.when(F.col("_column") == c, F.col("_median"))).alias(c) for c in cols])
 
 

@@ -40,7 +40,7 @@ def label_codes(df: DataFrame, col: str, code: str = "code") -> DataFrame:
 
 
 def index_labels(
-    df: DataFrame, col: str, out: str, codes: DataFrame | None = None, as_type: str = "int",
+    df: DataFrame, col: str, out: str, codes: DataFrame | None = None, as_type: str = "bigint",
     counted: DataFrame | None = None,
 ) -> DataFrame:
     """The table with its labels' codes; null and unknown labels get the code after the last.

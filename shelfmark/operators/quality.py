@@ -25,6 +25,7 @@ def schema_report(df: DataFrame) -> DataFrame:
 
 def null_audit(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 1) -> DataFrame:
     """Nulls and their percentage per column, with the column type; one pass."""
+    require_columns(df, cols or [])
     fields = [f for f in df.schema.fields if cols is None or f.name in cols]
     counts = df.agg(
         F.count(F.lit(1)).alias("_rows"),

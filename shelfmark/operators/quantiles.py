@@ -15,20 +15,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.operators.joins import skew_join
-
-# Intervals come from sign(v) * log1p(|v|), which grows with v. 2**50 steps per
-# unit keep the largest double (log1p about 710) inside a bigint.
+# Intervals come from sign(v) * (ln|v| + 746), which grows with v and is as fine,
+# relative to v, near the smallest double (ln about -745) as near the largest (710).
+# 2**50 steps per unit keep it inside a bigint.
 _STEPS = float(2**50)
-# Right shifts of that code, coarse to fine: at most 2 * 710 * 2**10 intervals
-# per group at first, then 2**16 parts of the one that was chosen.
-_SHIFTS = (40, 24)
+_ABOVE = 746.0
+# Right shifts of that code, coarse to fine: at most 2 * 1456 * 2**10 intervals
+# per group at first, then twice 2**16 parts of the one that was chosen. The last
+# ones are 2**-42 of a value wide, so only a few thousand doubles fit into one.
+_SHIFTS = (40, 24, 8)
 
 
 def _code(value: Column) -> Column:
     # Never null, so that joins on it add no null filter and every step of a
     # quantile reads the same, reused, shuffle of value counts.
-    return F.coalesce(F.floor(F.signum(value) * F.log1p(F.abs(value)) * F.lit(_STEPS)), F.lit(0))
+    size = F.when(value != 0, F.signum(value) * (F.ln(F.abs(value)) + F.lit(_ABOVE)))
+    return F.coalesce(F.floor(size * F.lit(_STEPS)), F.lit(0))
 
 
 def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -53,13 +55,11 @@ def quantiles(
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
     interpolate: bool = True,
-    few_groups: bool = False,
 ) -> DataFrame:
     """One row per group: its exact quantiles (linear interpolation between ranks).
 
     ``interpolate=False`` returns the existing value at the lower rank instead.
-    Groups without any value give no row; nulls and NaN are left out. Set
-    ``few_groups`` only if the number of groups cannot grow with the data.
+    Groups without any value give no row; nulls and NaN are left out.
     """
     names = list(names) if names else [f"p{round(p * 100)}" for p in probs]
     # A struct of the group columns joins null groups too.
@@ -89,7 +89,7 @@ def quantiles(
     # Step 2: the same inside the chosen intervals, each time much finer.
     for finer in _SHIFTS[1:]:
         wanted = (
-            _within(counts, shift, wanted, keys, few_groups or not by)
+            _within(counts, shift, wanted, keys)
             .groupBy(*spot, "_rank", F.shiftright("_code", finer).alias("_part")).agg(F.sum("_n").alias("_n"))
             .select(*spot, "_part", "_n", "_rank", _running([*keys, "_q", "_side"], "_part").alias("_upto"))
             .where((F.col("_rank") >= before) & (F.col("_rank") < F.col("_upto")))
@@ -99,7 +99,7 @@ def quantiles(
 
     # Step 3: rank the values of the last interval.
     found = (
-        _within(counts, shift, wanted, keys, few_groups or not by)
+        _within(counts, shift, wanted, keys)
         .select(*spot, "_v", "_n", "_rank", _running([*keys, "_q", "_side"], "_v").alias("_upto"))
         .where((F.col("_rank") >= before) & (F.col("_rank") < F.col("_upto")))
     )
@@ -112,14 +112,14 @@ def quantiles(
     return found.groupBy(*keys).agg(*picked).select(*[F.col(f"_key.`{c}`").alias(c) for c in by], *names)
 
 
-def _within(counts: DataFrame, shift: int, wanted: DataFrame, keys: list[str], few: bool) -> DataFrame:
-    """Values lying in the wanted intervals."""
+def _within(counts: DataFrame, shift: int, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """Values lying in the wanted intervals, two per group and quantile.
+
+    A plain join: adaptive execution broadcasts the intervals where they turn out
+    small, and splits an interval that holds a large part of the values.
+    """
     counts = counts.select("*", F.shiftright("_code", shift).alias("_part"))
-    on = [*keys, "_part"]
-    if few:
-        # Two ranks per group and requested quantile, whatever the size of the table.
-        return counts.join(F.broadcast(wanted), on)
-    return skew_join(counts, wanted, on, how="inner", spread_by=["_v"])
+    return counts.join(wanted, [*keys, "_part"])
 
 
 def approx_quantiles(

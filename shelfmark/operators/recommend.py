@@ -36,10 +36,13 @@ def train_als(
     """Explicit-feedback ALS; rows of unseen users or items are dropped when predicting.
 
     Ids must be whole numbers in the int range (ALS checks); see ``index_labels``.
+    Factors lie in as many blocks as the session runs tasks at a time, at least the
+    ten that are usual; ``params`` may set numUserBlocks and numItemBlocks.
     """
     ensure_checkpoint_dir(train.sparkSession)
-    als = ALS(userCol=user, itemCol=item, ratingCol=score, coldStartStrategy="drop",
-              implicitPrefs=False, **{**ALS_PARAMS, **(params or {})})
+    blocks = max(10, train.sparkSession.sparkContext.defaultParallelism)
+    settings = {"numUserBlocks": blocks, "numItemBlocks": blocks, **ALS_PARAMS, **(params or {})}
+    als = ALS(userCol=user, itemCol=item, ratingCol=score, coldStartStrategy="drop", implicitPrefs=False, **settings)
     return als.fit(train.select(user, item, F.col(score).cast("float")))
 
 
@@ -48,14 +51,21 @@ def predict(model: ALSModel, test: DataFrame) -> DataFrame:
     return model.transform(test).where(F.col("prediction").isNotNull())
 
 
-def recommend_all(model: ALSModel, n: int = 10, digits: int = 4) -> DataFrame:
-    """The top ``n`` items of every user, one row each."""
+def _listed(model: ALSModel, found: DataFrame, digits: int) -> DataFrame:
+    """One row per recommendation; ids are bigint as everywhere outside the model."""
     user, item = model.getUserCol(), model.getItemCol()
-    return (
-        model.recommendForAllUsers(n)
-        .select(user, F.inline("recommendations"))
-        .select(user, item, F.round("rating", digits).alias("predicted_score"))
-    )
+    return found.select(user, F.inline("recommendations")).select(
+        F.col(user).cast("bigint"), F.col(item).cast("bigint"), F.round("rating", digits).alias("predicted_score"))
+
+
+def recommend_all(model: ALSModel, n: int = 10, digits: int = 4) -> DataFrame:
+    """The top ``n`` items of every user, one row each; scores every user with every item."""
+    return _listed(model, model.recommendForAllUsers(n), digits)
+
+
+def recommend_for(model: ALSModel, users: DataFrame, n: int = 10, digits: int = 4) -> DataFrame:
+    """The top ``n`` items of the given users only; unknown users give no row."""
+    return _listed(model, model.recommendForUserSubset(users, n), digits)
 
 
 def item_metadata(

@@ -96,54 +96,35 @@ def clean_entity(spark: SparkSession, folder: str) -> DataFrame:
     return clean(raw(spark, folder), entity_spec())
 
 
-_written: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def _once(spark: SparkSession, folder: str, name: str, build) -> DataFrame:
-    """A table that several queries read, written once per application."""
-    at = (spark.sparkContext.applicationId, folder, name)
-    if at not in _written:
-        _written[at] = stage(build(spark, folder), name)
-    return _written[at]
-
-
 def entity(spark: SparkSession, folder: str) -> DataFrame:
-    """The cleaned catalogue as a written table."""
-    return _once(spark, folder, "entity", clean_entity)
+    """The cleaned catalogue, as a plan over the tables that are there now."""
+    return clean_entity(spark, folder)
 
 
-def build_interactions(spark: SparkSession, folder: str) -> DataFrame:
+def interactions(spark: SparkSession, folder: str) -> DataFrame:
     """Who bought what: customers as users, parts as items, 1..5 by mean quantity."""
     lines = table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"), "l_partkey", "l_linenumber", "l_quantity")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     return (
         skew_join(lines, orders, ["o_orderkey"], how="inner")
-        .groupBy(F.col("o_custkey").cast("int").alias("user_id"), F.col("l_partkey").cast("int").alias("item_id"))
+        .groupBy(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"))
         .agg(F.avg("l_quantity").alias("_q"), F.count(F.lit(1)).alias("n"))
         .select("user_id", "item_id", rescale_to_int(in_unit("_q", 1, 50)).alias("score"), "n")
     )
 
 
-def interactions(spark: SparkSession, folder: str) -> DataFrame:
-    return _once(spark, folder, "interactions", build_interactions)
-
-
-def build_baseline_recs(spark: SparkSession, folder: str) -> DataFrame:
+def baseline_recs(spark: SparkSession, folder: str) -> DataFrame:
     """Each user's ten items that most users have, ties by item."""
-    pairs = interactions(spark, folder).select("user_id", "item_id")
+    pairs = stage(interactions(spark, folder).select("user_id", "item_id"), "pairs")
     users = pairs.groupBy("item_id").agg(F.count(F.lit(1)).alias("users"))
     return top_n_per_group(
         skew_join(pairs, users, ["item_id"]), ["user_id"], [F.col("users").desc(), F.col("item_id")], 10)
 
 
-def baseline_recs(spark: SparkSession, folder: str) -> DataFrame:
-    return _once(spark, folder, "baseline_recs", build_baseline_recs)
-
-
 def bias_predictions(spark: SparkSession, folder: str) -> DataFrame:
     """Test pairs predicted as user mean + item mean - overall mean of the training pairs."""
-    rows = interactions(spark, folder).withColumn("_train", in_training(["user_id", "item_id"]))
+    rows = stage(interactions(spark, folder), "interactions").withColumn("_train", in_training(["user_id", "item_id"]))
     train, test = rows.where("_train"), rows.where("not _train").drop("_train")
     users = train.groupBy("user_id").agg(F.avg("score").alias("_u"))
     items = train.groupBy("item_id").agg(F.avg("score").alias("_i"))
@@ -158,18 +139,15 @@ def bias_predictions(spark: SparkSession, folder: str) -> DataFrame:
 def parts_metadata(spark: SparkSession, folder: str) -> DataFrame:
     """Item details: one row per part."""
     return table(spark, folder, "part").select(
-        F.col("p_partkey").cast("int").alias("item_id"), F.col("p_name").alias("name"),
+        F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"),
         F.col("p_type").alias("category"), F.col("p_brand").alias("brand"),
         F.col("p_retailprice").alias("price"))
 
 
 def als_run(spark: SparkSession, folder: str):
-    """One recommender run over all interactions, kept for the queries that show its parts."""
+    """One recommender run over all interactions, which are written first as training reads them often."""
     from shelfmark.plans.recommending import recommend
 
-    at = (spark.sparkContext.applicationId, folder, "als")
-    if at not in _written:
-        _written[at] = recommend(
-            interactions(spark, folder), parts_metadata(spark, folder), "user_id", "item_id", "score",
-            attribute="category", cols=["name", "category", "brand"])
-    return _written[at]
+    return recommend(
+        stage(interactions(spark, folder), "interactions"), parts_metadata(spark, folder), "user_id", "item_id", "score",
+        attribute="category", cols=["name", "category", "brand"])

@@ -70,7 +70,7 @@ entity as (
 
 INTERACTIONS = """
 interactions as (
-  select o_custkey::int as user_id, l_partkey::int as item_id,
+  select o_custkey as user_id, l_partkey as item_id,
          greatest(1, least(5, round((avg(l_quantity) - 1) / 49 * 4 + 1)::int)) as score, count(*) as n
   from orders join lineitem on o_orderkey = l_orderkey group by o_custkey, l_partkey)
 """

@@ -135,7 +135,8 @@ def run(spark: SparkSession, csv: str, folder: str, area: str, users: int = 200)
     cleaned = written(clean(raw, clean_spec(area), staged=True), "clean")
     named = for_analysis(cleaned)
     wr.write_results(an.analyses(named), at["analyses"])
-    heat = ch.pivot_mean(named, "district", "category", "rating")
+    heat = ch.pivot_mean(
+        named, "district", "category", "rating", [*dict.fromkeys(presets.TAG_CATEGORIES.values()), "Other"], min_rows=2)
     wr.write_results({**an.chart_tables(named), "heat_rating_wide": heat}, at["charts"])
     final = written(ql.require_columns(cleaned, REQUIRED), "final")
 

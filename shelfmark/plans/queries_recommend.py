@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.derive import vector_element
@@ -27,7 +27,7 @@ def _(spark, folder):
 
 
 @query("index_labels", """
-select p_partkey, p_brand, code::int as brand_code from part join (
+select p_partkey, p_brand, code::bigint as brand_code from part join (
   select p_brand, row_number() over (order by count(*) desc, p_brand) - 1 as code from part group by p_brand
 ) using (p_brand)""")
 def _(spark, folder):
@@ -36,7 +36,7 @@ def _(spark, folder):
 
 
 @query("index_items", """
-select c_custkey, c_name, (row_number() over (order by c_name) - 1)::int as item_index from customer""")
+select c_custkey, c_name, (row_number() over (order by c_name) - 1)::bigint as item_index from customer""")
 def _(spark, folder):
     customers = b.table(spark, folder, "customer").select("c_custkey", "c_name")
     return fe.index_labels(customers, "c_name", "item_index")
@@ -110,7 +110,7 @@ def _(spark, folder):
 
 @query("interactions", on(INTERACTIONS, "select * from interactions"))
 def _(spark, folder):
-    return b.build_interactions(spark, folder)
+    return b.interactions(spark, folder)
 
 
 @query("split", on(SPLIT, "select user_id, item_id, score, train from flagged"))
@@ -121,7 +121,7 @@ def _(spark, folder):
 
 @query("baseline_recs", on(BASELINE_RECS, "select * from baseline_recs"))
 def _(spark, folder):
-    return b.build_baseline_recs(spark, folder)
+    return b.baseline_recs(spark, folder)
 
 
 _ENRICHED = BASELINE_RECS + """,
@@ -219,6 +219,65 @@ def _(spark, folder):
     return rc.recommend_all(load_als(path))
 
 
+@query("als_prediction_keys", on(SPLIT, """
+select user_id, item_id, score from flagged where not train
+  and user_id in (select user_id from flagged where train) and item_id in (select item_id from flagged where train)"""))
+def _(spark, folder):
+    return b.als_run(spark, folder).predictions.select("user_id", "item_id", "score")
+
+
+@query("als_prediction_check", "select 0::bigint as differing")
+def _(spark, folder):
+    # A prediction is the product of the user's and the item's factors.
+    run = b.als_run(spark, folder)
+    users = run.model.userFactors.select(F.col("id").cast("bigint").alias("user_id"), F.col("features").alias("u"))
+    items = run.model.itemFactors.select(F.col("id").cast("bigint").alias("item_id"), F.col("features").alias("i"))
+    product = F.aggregate(F.zip_with("u", "i", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
+    both = run.predictions.join(users, "user_id").join(items, "item_id")
+    return both.agg(F.count_if(F.abs(product - F.col("prediction")) > 1e-3).alias("differing"))
+
+
+@query("als_reload_check", "select 0::bigint as differing")
+def _(spark, folder):
+    path = scratch_path(spark, "als-model")
+    model = b.als_run(spark, folder).model
+    save_model(model, path)
+    before, after = rc.recommend_all(model), rc.recommend_all(load_als(path))
+    return before.exceptAll(after).unionByName(after.exceptAll(before)).agg(F.count(F.lit(1)).alias("differing"))
+
+
+@query("als_subset_check", "select 0::bigint as differing")
+def _(spark, folder):
+    # The lists of some users alone are those that they have among all.
+    run = b.als_run(spark, folder)
+    users = run.predictions.select("user_id").distinct().where("user_id % 3 = 0")
+    some = rc.recommend_for(run.model, users)
+    every = rc.recommend_all(run.model).join(users, "user_id", "left_semi")
+    return some.exceptAll(every).unionByName(every.exceptAll(some)).agg(F.count(F.lit(1)).alias("differing"))
+
+
+@query("recommendations_order", "select 0::bigint as misplaced")
+def _(spark, folder):
+    table = rc.recommendations_table(b.als_run(spark, folder).model, b.parts_metadata(spark, folder), ["name", "category"])
+    placed = table.withColumn("at", F.monotonically_increasing_id())
+    wanted = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("predicted_score"), "item_id"))
+    found = F.row_number().over(Window.partitionBy("user_id").orderBy("at"))
+    both = placed.select("user_id", wanted.alias("wanted"), found.alias("found"))
+    return both.agg(F.count_if(F.col("wanted") != F.col("found")).alias("misplaced"))
+
+
+@query("metrics_row", on(BIAS, """
+select round(sqrt(avg((prediction - score) * (prediction - score))), 6) as rmse,
+  round(avg(abs(prediction - score)), 6) as mae, 10 as rank, 10 as max_iter, 0.1::double as reg_param from predictions"""))
+def _(spark, folder):
+    error = ev.rating_error(b.bias_predictions(spark, folder), "score")
+    one = spark.range(1)
+    row = ev.metrics_row(error, one.select(F.lit(1.0).alias("coverage_percent")), one.select(
+        F.lit(1.0).alias("avg_diversity")), {"rank": 10, "maxIter": 10, "regParam": 0.1})
+    return row.select("rmse", "mae", "als_params.rank", F.col("als_params.maxIter").alias("max_iter"),
+                      F.col("als_params.regParam").alias("reg_param"))
+
+
 @query("als_list_lengths", on(SPLIT, """
 select user_id, least(10, (select count(distinct item_id) from flagged where train)) as items
 from flagged where train group by user_id"""))

@@ -49,11 +49,14 @@ def read_csv_inferred(
 
 def read_lenient(
     spark: SparkSession, path: str, schema: T.StructType | str, numeric: Sequence[str] = (),
-    header: bool = True,
+    header: bool = True, multiline: bool = False,
 ) -> DataFrame:
-    """CSV that may be broken: rows with a wrong number of fields are skipped, bad numbers are null."""
+    """CSV that may be broken: rows with a wrong number of fields are skipped, bad numbers are null.
+
+    With ``multiline``, quoted fields may hold line breaks; then a file is one task.
+    """
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    df = read_csv(spark, path, schema, multiline=True, escape='"', mode="DROPMALFORMED", header=header)
+    df = read_csv(spark, path, schema, multiline=multiline, escape='"', mode="DROPMALFORMED", header=header)
     return cast_columns(df, {c: "double" for c in numeric})
 
 
@@ -63,10 +66,11 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _load(kind, path: str):
-    try:
-        return kind.load(path)
-    except Exception as e:
-        raise FileNotFoundError(f"no readable {kind.__name__} at {path}") from e
+    spark = SparkSession.active()
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where):
+        raise FileNotFoundError(f"no {kind.__name__} at {path}")
+    return kind.load(path)
 
 
 def load_als(path: str) -> ALSModel:

@@ -31,8 +31,8 @@ def write_snapshot(df: DataFrame, paths: Sequence[str]) -> None:
 
 
 def write_metrics(df: DataFrame, path: str) -> None:
-    """Overwrite with nested JSON, one object per row."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    """Overwrite with nested JSON, one object per row; the one row of a summary is one file."""
+    df.write.mode("overwrite").json(path)
 
 
 def write_results(

@@ -12,11 +12,14 @@ from pyspark.sql.streaming import StreamingQuery
 from shelfmark.operators.cleaning import dedup
 
 DAY = "collected_day"
+# Windows that one task compares with each other, per key.
+STRETCH = 1000
 
 
 def append_history(df: DataFrame, path: str, ts: str = "collected_at") -> None:
     """Add a run's rows to the history, by day; nothing that is there changes."""
-    by_day = df.withColumn(DAY, F.to_date(ts))
+    # Joins the rows of a small day and splits those of a large one, so files grow with rows and not with tasks.
+    by_day = df.withColumn(DAY, F.to_date(ts)).hint("rebalance", DAY)
     by_day.write.mode("append").partitionBy(DAY).parquet(path)
 
 
@@ -48,12 +51,22 @@ def period_delta(
 ) -> DataFrame:
     """Rows per time window and the change since the key's previous window (null for its first)."""
     counts = period_counts(df, ts, period, keys, value)
-    # Over counts: one row per window and key, as many as the time range has windows.
-    before = Window.partitionBy(*keys).orderBy("period_start")
-    out = counts.withColumn("delta", F.col("n") - F.lag("n").over(before))
-    if value:
-        out = out.withColumn("total_delta", F.col("total") - F.lag("total").over(before))
-    return out
+    values = {"n": "delta", **({"total": "total_delta"} if value else {})}
+    # Stretches of STRETCH windows are looked at apart from each other.
+    seconds = F.unix_seconds(F.col("period_start").cast("timestamp"))
+    length = F.unix_seconds(F.col("period_end").cast("timestamp")) - seconds
+    counts = counts.withColumn("_stretch", F.floor(seconds / (length * STRETCH)))
+    within = Window.partitionBy(*keys, "_stretch").orderBy("period_start")
+    # The border between two stretches needs the last window of the one before: a row per stretch and key.
+    last = counts.groupBy(*keys, "_stretch").agg(*[
+        F.max_by(v, "period_start").alias(f"_{v}") for v in values])
+    across = Window.partitionBy(*keys).orderBy("_stretch")
+    border = last.select(*keys, "_stretch", *[F.lag(f"_{v}").over(across).alias(f"_{v}") for v in values])
+    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"b.{k}")) for k in [*keys, "_stretch"]]
+    out = counts.withColumns({f"_in_{v}": F.lag(v).over(within) for v in values}).alias("c").join(
+        border.alias("b"), same, "left")
+    return out.select(*[f"c.{c}" for c in counts.columns if c != "_stretch"], *[
+        (F.col(v) - F.coalesce(f"_in_{v}", f"_{v}")).alias(d) for v, d in values.items()])
 
 
 def read_stream(
@@ -78,7 +91,7 @@ def with_watermark(stream: DataFrame, ts: str, delay: str) -> DataFrame:
 def stream_periods(
     stream: DataFrame, ts: str, period: str, delay: str, keys: Sequence[str] = (), value: str | None = None,
 ) -> DataFrame:
-    """Counts per closed time window of a stream."""
+    """Counts per closed time window of a stream; windows that are still open at its end are not given."""
     return period_counts(with_watermark(stream, ts, delay), ts, period, keys, value)
 
 
@@ -89,14 +102,16 @@ def stream_dedup(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) ->
 
 def append_stream(
     stream: DataFrame, path: str, checkpoint: str, day_of: str | None = None, name: str | None = None,
-    every: str | None = None,
+    every: str | None = None, files_per_day: int = 4,
 ) -> StreamingQuery:
     """Append a stream to a Parquet history, exactly once across restarts.
 
     Takes what is available and ends; with ``every`` ("1 minute") it keeps running.
     """
     if day_of:
+        # A few files per day and batch, whatever the number of tasks.
         stream = stream.withColumn(DAY, F.to_date(day_of))
+        stream = stream.repartition(DAY, F.pmod(F.xxhash64(*stream.columns), F.lit(files_per_day)))
     writer = stream.writeStream.format("parquet").outputMode("append").option("path", path)
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)

@@ -86,12 +86,10 @@ def test_pivot_mean_keeps_columns_filled_in_two_rows(spark):
     df = spark.createDataFrame(
         [("r1", "x", 1.0), ("r1", "x", 2.0), ("r2", "x", 4.0), ("r1", "y", 9.0), ("r3", "y", None), ("r4", "y2", 1.0)],
         "r string, c string, v double")
-    wide = ch.pivot_mean(df, "r", "c", "v")
+    wide = ch.pivot_mean(df, "r", "c", "v", ["x", "y", "y2"], min_rows=2)
     assert wide.columns == ["r", "x"]
     assert sorted(rows(wide)) == [("r1", 1.5), ("r2", 4.0), ("r4", None)]
-    assert ch.pivot_mean(df, "r", "c", "v", min_rows=1, values=["y"]).columns == ["r", "y"]
-    with pytest.raises(ValueError):
-        ch.pivot_mean(df, "r", "c", "v", min_rows=1, max_columns=1)
+    assert ch.pivot_mean(df, "r", "c", "v", ["y", "z"]).columns == ["r", "y", "z"]
 
 
 def test_histogram_like_numpy(spark):

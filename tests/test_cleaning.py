@@ -106,6 +106,8 @@ def test_null_audit(spark):
     assert rows(ql.null_audit(df)) == [("a", "int", 3, 1, 33.3), ("b", "string", 3, 2, 66.7)]
     empty = spark.createDataFrame([], "a int")
     assert rows(ql.null_audit(empty)) == [("a", "int", 0, 0, None)]
+    with pytest.raises(ValueError, match="absent"):
+        ql.null_audit(df, ["a", "absent"])
 
 
 def test_describe(spark):

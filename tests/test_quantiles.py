@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from shelfmark.operators.quantiles import approx_quantiles, quantiles
 
@@ -60,3 +61,29 @@ def test_approx_rank_error(spark, folder):
     [(found,)] = rows(approx_quantiles(df, "l_extendedprice", [0.5], accuracy=1000))
     below = df.where(df.l_extendedprice <= found).count()
     assert abs(below / df.count() - 0.5) <= 2 / 1000
+
+
+@pytest.mark.parametrize("values", [
+    "id * 1e-12", "1e18 + id * 86400.0", "1.0 + id / 200000.0", "exp((id - 100000) / 300.0)"])
+def test_last_intervals_are_small(spark, values):
+    from shelfmark.operators import quantiles as q
+
+    df = spark.range(200_000).selectExpr(f"cast({values} as double) as v")
+    part = F.shiftright(q._code(F.col("v")), q._SHIFTS[-1])
+    sizes = df.distinct().groupBy(part.alias("p")).agg(F.count("*").alias("n"))
+    assert sizes.agg(F.max("n")).first()[0] <= 4000
+
+
+def test_tables_are_read_anew(spark, tmp_path):
+    from shelfmark.plans import bindings as b
+
+    folder = str(tmp_path / "tables")
+    counts = []
+    for take in (50, 120):
+        for name in ("part", "lineitem"):
+            df = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+            if name == "part":
+                df = df.where(F.col("p_partkey") <= take)
+            df.write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
+        counts.append(b.entity(spark, folder).count())
+    assert counts[0] < counts[1]
