@@ -28,6 +28,9 @@ def read_csv(
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     reader = spark.read.schema(text).option("header", header).option("nullValue", null_value)
     reader = reader.option("multiLine", multiline).option("mode", mode)
+    if mode == "DROPMALFORMED":
+        # A row is judged by all its fields, also where few columns are wanted.
+        reader = reader.option("columnPruning", False)
     if escape is not None:
         reader = reader.option("escape", escape)
     paths = path if isinstance(path, str) else list(path)
