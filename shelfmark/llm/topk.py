@@ -164,7 +164,8 @@ def top_k(
     for w in sorted(r.width for r in rows.select("width").distinct().collect()):
         out.append(_top_k(rows.where(F.col("width") == w), wanted.where(F.col("width") == w), w, k))
     if not out:
-        return wanted.select(F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0).cast("long").alias("score"))
+        return wanted.limit(0).select(
+            F.col("vec_id").alias("query_id"), F.lit(1).alias("rank"), "vec_id", F.lit(0).cast("long").alias("score"))
     for other in out[1:]:
         out[0] = out[0].unionByName(other)
     return out[0]

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from plain import shingled
+from plain import no_docs, odd_docs, shingled  # noqa: F401
 from pyspark.sql import functions as F
 
 from shelfmark.llm import cover, golomb, minhash
