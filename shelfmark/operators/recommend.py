@@ -47,8 +47,9 @@ def train_als(
 
 
 def predict(model: ALSModel, test: DataFrame) -> DataFrame:
-    """Test rows with a prediction."""
-    return model.transform(test).where(F.col("prediction").isNotNull())
+    """Test rows with a prediction; ids keep the types they came with."""
+    ids = {c: F.col(c).cast(test.schema[c].dataType) for c in (model.getUserCol(), model.getItemCol())}
+    return model.transform(test).where(F.col("prediction").isNotNull()).withColumns(ids)
 
 
 def _listed(model: ALSModel, found: DataFrame, digits: int) -> DataFrame:
