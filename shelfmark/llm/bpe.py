@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.parts import spans, text_bytes, texts_of
+from shelfmark.llm.parts import small_batches, spans, text_bytes, texts_of, tidy
 from shelfmark.llm.words import Memory, ragged, sums, word_spans
 
 NONE = np.int64(1) << np.int64(62)
@@ -244,8 +244,9 @@ def encode_texts(docs: DataFrame, path: str, doc_id: str = "doc_id", texts: str
                     "decoded": pa.array([bytes(t) for t in own.decode(ids, at)], pa.binary()).cast(pa.string()),
                 })
 
+    small_batches(docs.sparkSession)
     picked = docs.select(F.col(f"`{doc_id}`"), F.col(f"`{texts}`"))
-    return picked.mapInArrow(run, f"doc_id {id_type}, ids binary, decoded string")
+    return picked.mapInArrow(tidy(run), f"doc_id {id_type}, ids binary, decoded string")
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm import exchange
-from shelfmark.llm.parts import PartTable, binary, texts_of
+from shelfmark.llm.parts import PartTable, binary, texts_of, tidy
 from shelfmark.sources.staging import stage
 
 # An owner gets about this many fingerprints; their number grows with the rows.
@@ -62,7 +62,7 @@ def decide(table: PartTable, doc_id: str = "doc_id", texts: str = "text") -> Dat
     """
     owners = max(1, -(-table.rows.count() // KEYS_PER_OWNER))
     messages = table.each([texts], _messages(texts, owners), exchange.MESSAGE)
-    answers = messages.groupBy("owner").applyInArrow(exchange.judge, exchange.ANSWER)
+    answers = messages.groupBy("owner").applyInArrow(tidy(exchange.judge), exchange.ANSWER)
     id_type = table.kind(doc_id)
     seen = stage(
         table.each_with([doc_id, texts], stage(answers, "marks"), _suspects(doc_id, texts, owners),

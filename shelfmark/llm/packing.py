@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.bpe import codec
-from shelfmark.llm.parts import spans, texts_of
+from shelfmark.llm.parts import small_batches, spans, texts_of, tidy
 from shelfmark.llm.words import ragged
 from shelfmark.sources.staging import scratch_path
 
@@ -107,6 +107,7 @@ def _width(path: str) -> str:
 
 def _tokens(docs: DataFrame, path: str, end_id: int, doc_id: str, texts: str, source: str) -> DataFrame:
     """Each row's ids with the tokens of its source before it in its part, written once."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     id_type = docs.schema[doc_id].dataType.simpleString()
     key = F.when(F.col(f"`{source}`").isNull(), "").otherwise(F.concat(F.lit("="), F.col(f"`{source}`").cast("string")))
@@ -137,7 +138,7 @@ def _tokens(docs: DataFrame, path: str, end_id: int, doc_id: str, texts: str, so
                     "n": pa.array(sizes, pa.int64()), "ids": blob})
 
     picked = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{texts}`").alias("text"), key.alias("source"))
-    made = picked.mapInArrow(run, f"doc_id {id_type}, source string, part int, before long, n long, ids binary")
+    made = picked.mapInArrow(tidy(run), f"doc_id {id_type}, source string, part int, before long, n long, ids binary")
     at = scratch_path(spark, "tokens")
     made.write.option("compression", "zstd").parquet(at)
     return spark.read.schema(made.schema).parquet(at)
@@ -193,7 +194,7 @@ def pack(
 
     placed = tokens.join(starts, ["part", "source"]).select(
         "doc_id", "source", "n", "ids", "queue", (F.col("start") + F.col("before")).alias("begin"))
-    return placed.mapInArrow(cut, fields.format(docs.schema[doc_id].dataType.simpleString())).withColumn(
+    return placed.mapInArrow(tidy(cut), fields.format(docs.schema[doc_id].dataType.simpleString())).withColumn(
         "source", F.when(F.col("source") != "", F.expr("substring(source, 2)")))
 
 

@@ -8,17 +8,58 @@ texts do not.
 
 from __future__ import annotations
 
+import ctypes
+import inspect
 import uuid
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 
+BATCH_BYTES = "8m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in batches of BATCH_BYTES, unless the session names a size of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, BATCH_BYTES)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker outlives its task, and idle ones share the executor's memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(fn: Callable) -> Callable:
+    """A function over a group that gives back what it used, or one over batches that does so at their end."""
+    def over_batches(batches):
+        yield from fn(batches)
+        give_back()
+
+    def over_group(table):
+        out = fn(table)
+        give_back()
+        return out
+
+    def over_pair(left, right):
+        out = fn(left, right)
+        give_back()
+        return out
+
+    if inspect.isgeneratorfunction(fn):
+        return over_batches
+    return over_pair if len(inspect.signature(fn).parameters) == 2 else over_group
+
+
 class PartTable:
     """A written copy of ``df`` with ``row``, a key no two rows share, and ``part``.
 
@@ -28,6 +69,7 @@ class PartTable:
 
     def __init__(self, df: DataFrame, name: str):
         self.spark = df.sparkSession
+        small_batches(self.spark)
         self.name = f"llm_{name}_{uuid.uuid4().hex}"
         self.columns = df.columns
         self.kinds = [f.dataType for f in df.schema.fields]
@@ -53,21 +95,21 @@ class PartTable:
 
     def each(self, cols: list[str], fn: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
         """``fn`` over each part, its rows in the order of their key."""
-        return self.pick(cols).groupBy("part").applyInArrow(lambda part: fn(part.sort_by("row")), schema)
+        return self.pick(cols).groupBy("part").applyInArrow(tidy(lambda part: fn(part.sort_by("row"))), schema)
 
     def each_with(
         self, cols: list[str], answers: DataFrame, fn: Callable[[pa.Table, pa.Table], pa.Table], schema: str
     ) -> DataFrame:
         """``fn`` over each part and the rows of ``answers`` that name it in their column ``part``."""
         return self.pick(cols).groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
-            lambda part, own: fn(part.sort_by("row"), own), schema)
+            tidy(lambda part, own: fn(part.sort_by("row"), own)), schema)
 
     def rewrite(self, answers: DataFrame, fn: Callable[[pa.Table, pa.Table], pa.Table]) -> DataFrame:
         """The table in the columns it came with, each part (under c0, c1, ...) as ``fn`` leaves it."""
         names = [f"c{i}" for i in range(len(self.columns))]
         schema = StructType([StructField(n, k) for n, k in zip(names, self.kinds, strict=True)])
         out = self.rows.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
-            lambda part, own: fn(part.sort_by("row"), own).select(names), schema)
+            tidy(lambda part, own: fn(part.sort_by("row"), own).select(names)), schema)
         return out.toDF(*self.columns)
 
     def keep(self, chosen: DataFrame) -> DataFrame:

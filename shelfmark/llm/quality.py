@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from shelfmark.llm.parts import spans, text_bytes, texts_of
+from shelfmark.llm.parts import small_batches, spans, text_bytes, texts_of, tidy
 from shelfmark.llm.words import keys, mix, sums, word_spans
 
 BITS = 18
@@ -127,7 +127,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
         w = train(texts_of(rows.column("text")), rows.column("label").to_numpy())
         yield pa.record_batch({"weights": pa.array([w.astype("<f4").tobytes()], pa.binary()), "n": pa.array([rows.num_rows], pa.int64())})
 
-    made = rows.repartition(SHARDS, F.pmod("place", F.lit(SHARDS))).mapInArrow(shard, "weights binary, n long").collect()
+    made = rows.repartition(SHARDS, F.pmod("place", F.lit(SHARDS))).mapInArrow(tidy(shard), "weights binary, n long").collect()
     total = sum(r.n for r in made)
     out = np.zeros((1 << BITS) + 1)
     for r in sorted(made, key=lambda r: (r.n, bytes(r.weights[:64]))):
@@ -137,6 +137,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
 
 def _scored(docs: DataFrame, weights: np.ndarray, add, kinds: list[StructField]) -> DataFrame:
     """``docs`` with what ``add`` makes of each batch and its scores; columns travel under numbers."""
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(weights)
     place = docs.columns.index("text")
 
@@ -146,7 +147,7 @@ def _scored(docs: DataFrame, weights: np.ndarray, add, kinds: list[StructField])
 
     names = [f"c{i}" for i in range(len(docs.columns))]
     fields = [StructField(n, f.dataType) for n, f in zip(names, docs.schema.fields, strict=True)]
-    return docs.toDF(*names).mapInArrow(run, StructType([*fields, *kinds])).toDF(*docs.columns, *[k.name for k in kinds])
+    return docs.toDF(*names).mapInArrow(tidy(run), StructType([*fields, *kinds])).toDF(*docs.columns, *[k.name for k in kinds])
 
 
 def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.parts import spans, text_bytes, texts_of
+from shelfmark.llm.parts import small_batches, spans, text_bytes, texts_of, tidy
 from shelfmark.llm.words import Memory, WordTable, keys, sums, word_spans
 
 SAMPLE_DOCUMENTS = 4096
@@ -109,7 +109,7 @@ def fit_frequent(docs: DataFrame, path: str, texts: str = "text", sample: int =
         yield pa.record_batch({"unit": pa.array([u for u, _ in top], pa.binary()),
                                "n": pa.array([n for _, n in top], pa.int64())})
 
-    tops = drawn.repartition(8).mapInArrow(frequent, "unit binary, n long")
+    tops = drawn.repartition(8).mapInArrow(tidy(frequent), "unit binary, n long")
     total: dict[bytes, int] = {}
     for row in tops.collect():
         total[bytes(row.unit)] = total.get(bytes(row.unit), 0) + row.n
@@ -134,6 +134,7 @@ def count_tokens(
     as one token each, as the library counts them. Repeated rows are counted each,
     and an empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     id_type = docs.schema[doc_id].dataType.simpleString()
     frequent = docs.sparkSession.sparkContext.broadcast(fit_frequent(docs, path, texts, sample, most))
 
@@ -149,4 +150,4 @@ def count_tokens(
                     "n_tokens": pa.array(n, pa.int64()), "over_limit": pa.array(n > limit)})
 
     picked = docs.select(F.col(f"`{doc_id}`"), F.col(f"`{texts}`"))
-    return picked.mapInArrow(run, f"doc_id {id_type}, n_bytes long, n_tokens long, over_limit boolean")
+    return picked.mapInArrow(tidy(run), f"doc_id {id_type}, n_bytes long, n_tokens long, over_limit boolean")
