@@ -26,8 +26,8 @@ def _dense(keys: np.ndarray) -> np.ndarray:
     """The rank of each key among the different ones."""
     order = np.argsort(keys)
     ordered = keys[order]
-    ranks = np.empty(len(keys), np.uint64)
-    ranks[order] = np.append(0, np.cumsum(ordered[1:] != ordered[:-1])).astype(np.uint64) if len(keys) else 0
+    ranks = np.empty(len(keys), np.uint32)
+    ranks[order] = np.append(0, np.cumsum(ordered[1:] != ordered[:-1]))[:len(keys)]
     return ranks
 
 
@@ -47,9 +47,10 @@ class CoverRanks:
             needs.append(needs[-1] | {p + size for p in needs[-1]})
         needs.reverse()
         ranks = {p: _dense(self._seven(p)) for p in needs[0] if p < width}
-        nothing = np.zeros(len(rows), np.uint64)
+        nothing = np.zeros(len(rows), np.uint32)
         for size, after in zip(steps[:-1], needs[1:], strict=True):
-            ranks = {p: _dense(ranks[p] << np.uint64(32) | ranks.get(p + size, nothing)) for p in after if p < width}
+            ranks = {p: _dense(ranks[p].astype(np.uint64) << np.uint64(32) | ranks.get(p + size, nothing))
+                     for p in after if p < width}
         self.ranks = ranks
 
     def _seven(self, place: int) -> np.ndarray:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm import cover, exchange
-from shelfmark.llm.parts import PartTable, binary, spans, text_bytes, texts_of
+from shelfmark.llm.parts import PartTable, binary, spans, text_bytes, texts_of, tidy
 from shelfmark.llm.words import mix
 from shelfmark.sources.staging import stage
 
@@ -29,7 +29,9 @@ PLACES = LENGTH - GRAM + 1
 BEFORE = PLACES - 1
 ROW = BEFORE + LENGTH
 KEY_BITS = 48
-BYTES_PER_OWNER = 1 << 24
+BYTES_PER_OWNER = 1 << 23
+# Rows of this much text are cut out and reduced at a time.
+BLOCK_BYTES = 1 << 20
 RECORD = "part int, owner int, rows binary, lo binary, hi binary, least binary, sizes binary, at binary, place binary, later binary"
 REPLY = "part int, at binary, place binary, mask binary"
 
@@ -74,7 +76,9 @@ def anchors(texts: pa.Array):
     last = np.append(first[1:], len(start)) - 1
     text, p = owner[first], place[first]
     base = offsets[text]
-    return text, p - base, start[first] - base, start[last] + 1 - base, hashes[p] >> np.uint64(64 - KEY_BITS)
+    # Anchors have small hashes; mixed again they are spread evenly over the owners.
+    key = mix(hashes[p] + np.uint64(1)) >> np.uint64(64 - KEY_BITS)
+    return text, p - base, start[first] - base, start[last] + 1 - base, key
 
 
 def _active(part: pa.Table, other: pa.Table) -> pa.Table:
@@ -102,67 +106,63 @@ def _send_keys(owners: int):
     return send
 
 
+def _rows_of(texts: pa.Array, shared: np.ndarray):
+    """Per shared anchor of some texts: the row around it with its first and last string's places, text, place, key."""
+    text, p, first, end, key = anchors(texts)
+    at = np.minimum(np.searchsorted(shared, key), max(0, len(shared) - 1))
+    hit = np.flatnonzero(shared[at] == key) if len(shared) else at[:0]
+    if not len(hit):
+        return None
+    data, offsets = text_bytes(texts)
+    padded = np.concatenate([np.zeros(BEFORE, np.uint8), data, np.zeros(LENGTH, np.uint8)])
+    text, p, first, end = text[hit], p[hit], first[hit], end[hit]
+    whole = np.empty((len(hit), ROW + 2), np.uint8)
+    whole[:, :ROW] = np.lib.stride_tricks.sliding_window_view(padded, ROW)[offsets[text] + p]
+    # Only the bytes of the strings it is the anchor of count.
+    left, last = first - p + BEFORE, end - p + BEFORE
+    column = np.arange(ROW)
+    whole[:, :ROW][(column < left[:, None]) | (column >= last[:, None] - 1 + LENGTH)] = 0
+    whole[:, ROW], whole[:, ROW + 1] = left, last
+    return whole, text, p, key[hit]
+
+
 def _send_rows(owners: int):
-    """Each different row around the shared anchors of a part, with the places it stands at."""
+    """Each different row around the shared anchors of a block of texts, with the places it stands at."""
 
     def send(part: pa.Table, answers: pa.Table) -> pa.Table:
-        copies = answers.filter(pa.array(answers.column("owner").is_null().to_numpy())) if answers.num_rows else answers
-        copied = copies.column("row").to_numpy() if copies.num_rows else np.zeros(0, np.int64)
-        told = answers.filter(answers.column("owner").is_valid())
+        own = part.column("part")[0].as_py() if part.num_rows else 0
         ids = part.column("doc_id").to_numpy()
-        skip = np.isin(part.column("row").to_numpy(), copied)
-        index = np.flatnonzero(~skip)
-        texts = texts_of(part.filter(pa.array(~skip)).column("text"))
-        found = []
-        for i, j in spans(texts):
-            found.append((i, j, anchors(texts.slice(i, j - i))))
-        keys = np.concatenate([f[2][4] for f in found]) if found else np.zeros(0, np.uint64)
-        distinct = np.unique(keys)
+        copied = answers.column("row").drop_null().to_numpy()
+        index = np.flatnonzero(~np.isin(part.column("row").to_numpy(), copied))
+        texts = texts_of(part.column("text").take(pa.array(index)))
+        distinct = np.unique(np.concatenate(
+            [np.zeros(0, np.uint64), *[np.unique(anchors(texts.slice(i, j - i))[4]) for i, j in spans(texts)]]))
+        told = answers.filter(answers.column("owner").is_valid())
         shared = distinct[exchange.marked(distinct, told, owners, KEY_BITS)]
-        rows, at, place, lo, hi, key = [], [], [], [], [], []
-        for i, j, (text, p, first, end, k) in found:
-            hit = np.flatnonzero(np.isin(k, shared))
-            if not len(hit):
-                continue
-            data, offsets = text_bytes(texts.slice(i, j - i))
-            padded = np.concatenate([np.zeros(BEFORE, np.uint8), data, np.zeros(LENGTH, np.uint8)])
-            windows = np.lib.stride_tricks.sliding_window_view(padded, ROW)
-            text, p, first, end = text[hit], p[hit], first[hit], end[hit]
-            cut = windows[offsets[text] + p].copy()
-            # Only the bytes of the strings it is the anchor of count.
-            column = np.arange(ROW)
-            left, right = first - p + BEFORE, end - p + BEFORE - 1 + LENGTH
-            cut[(column < left[:, None]) | (column >= right[:, None])] = 0
-            rows.append(cut)
-            at.append(index[i + text])
-            place.append(p)
-            lo.append(left)
-            hi.append(end - p + BEFORE)
-            key.append(k[hit])
-        if not rows:
-            return pa.table({c: pa.array([], t) for c, t in zip(
-                ["part", "owner", "rows", "lo", "hi", "least", "sizes", "at", "place", "later"],
-                [pa.int32()] * 2 + [pa.binary()] * 8, strict=True)})
-        rows, at, place, lo, hi, key = (np.concatenate(x) for x in (rows, at, place, lo, hi, key))
-        doc = ids[at]
-        # Rows that are the same, with the same strings, are sent once with their smallest doc_id.
-        whole = np.hstack([rows, lo[:, None].astype(np.uint8), hi[:, None].astype(np.uint8)])
-        owner = exchange.owner_of(key, owners, KEY_BITS)
-        _, same = np.unique(np.ascontiguousarray(whole).view(f"V{ROW + 2}").ravel(), return_inverse=True)
-        order = np.lexsort((doc, same, owner))
-        return _record(part.column("part")[0].as_py(), whole[order], owner[order], at[order], place[order], doc[order])
+        out = [_record(own, *[np.zeros((0, ROW + 2) if i == 0 else 0, np.int64) for i in range(5)])]
+        for i, j in spans(texts, BLOCK_BYTES):
+            found = _rows_of(texts.slice(i, j - i), shared)
+            if found is not None:
+                whole, text, place, key = found
+                at = index[i + text]
+                # Rows that are the same, with the same strings, are sent once with their smallest doc_id.
+                _, same = np.unique(whole.view(f"V{ROW + 2}").ravel(), return_inverse=True)
+                owner = exchange.owner_of(key, owners, KEY_BITS)
+                order = np.lexsort((ids[at], same, owner))
+                out.append(_record(own, whole[order], owner[order], at[order], place[order], ids[at][order]))
+        return pa.concat_tables(out)
 
     return send
 
 
 def _record(part: int, whole, owner, at, place, doc) -> pa.Table:
-    new = np.append(True, (whole[1:] != whole[:-1]).any(axis=1) | (owner[1:] != owner[:-1]))
+    new = np.append(True, (whole[1:] != whole[:-1]).any(axis=1) | (owner[1:] != owner[:-1]))[:len(whole)]
     first = np.flatnonzero(new)
     sizes = np.diff(np.append(first, len(whole)))
     later = (doc > np.repeat(doc[first], sizes)).astype(np.uint8)
     out = []
-    edges = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-    for a, b in zip(edges, np.append(edges[1:], len(owner)), strict=True):
+    edges = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])[:len(whole)])
+    for a, b in zip(edges, np.append(edges, len(owner))[1:], strict=True):
         u = first[(first >= a) & (first < b)]
         out.append((
             int(owner[a]), whole[u, :ROW].tobytes(), whole[u, ROW].tobytes(), whole[u, ROW + 1].tobytes(), doc[u].astype("<i8").tobytes(),
@@ -259,12 +259,12 @@ def remove_repeats(table: PartTable) -> DataFrame:
     copies = stage(signed.join(firsts, "digest").where("doc_id > first").select("part", "row"), "copies")
     owners = max(1, -(-(signed.agg(F.sum("size")).first()[0] or 0) // BYTES_PER_OWNER))
     keys = table.each_with(["doc_id", "text"], copies, _send_keys(owners), exchange.MESSAGE)
-    answers = stage(keys.groupBy("owner").applyInArrow(exchange.judge, exchange.ANSWER), "marks")
+    answers = stage(keys.groupBy("owner").applyInArrow(tidy(exchange.judge), exchange.ANSWER), "marks")
     nothing = F.lit(None).cast("binary")
     told = answers.withColumn("row", F.lit(None).cast("long")).unionByName(
         copies.select("part", F.lit(None).cast("int").alias("owner"), nothing.alias("marks"), "row"))
     rows = table.each_with(["doc_id", "text"], told, _send_rows_of(owners, least), RECORD)
-    replies = stage(rows.groupBy("owner").applyInArrow(_sort_rows, REPLY), "masks")
+    replies = stage(rows.groupBy("owner").applyInArrow(tidy(_sort_rows), REPLY), "masks")
     said = replies.withColumn("row", F.lit(None).cast("long")).unionByName(
         copies.select("part", nothing.alias("at"), nothing.alias("place"), nothing.alias("mask"), "row"))
     return table.each_with(["text"], said, _remove, "row long, n_bytes long, n_removed long, n_spans long, kept binary")
