@@ -7,9 +7,10 @@ bitmap: the exclusive or of two bitmaps has at most two ones per sample in which
 nodes differ, so its count bounds their similarity, and pairs beyond the bound are
 not looked at. What is left is compared on the full sets.
 
-A bucket does not give all its pairs. First each member meets the bucket's centre, the
-one that shares most buckets with others. Only members that are then still in
-different components meet one another.
+A bucket does not give all its pairs. Members that have too few shingles in common with
+all other candidates together are out. Then each member meets the bucket's centre, first
+the one that shares most buckets with others, then ones drawn by a hash. Only members
+that are then still in different components meet one another.
 """
 
 from __future__ import annotations
@@ -22,13 +23,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.llm import exchange
 from shelfmark.llm.components import components
-from shelfmark.llm.parts import PartTable, binary, spans, text_bytes, texts_of
+from shelfmark.llm.parts import PartTable, binary, spans, text_bytes, texts_of, tidy
 from shelfmark.llm.quality import LOWER
-from shelfmark.llm.words import keys, mix, word_spans
+from shelfmark.llm.words import keys, mix, sums, word_spans
 from shelfmark.sources.staging import stage
 
 ROWS = 4
+# Rounds of stars with centres drawn anew before what is left is compared in full.
+CENTRES = 2
 SKETCH_BITS = 512
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -58,7 +62,7 @@ def shingle_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
 
 def bands_for(similarity: float, misses: float) -> int:
     """Bands of ROWS samples such that at most this share of pairs of this similarity meets in none."""
-    return math.ceil(math.log(misses) / math.log(1 - similarity ** ROWS))
+    return math.ceil(math.log(misses) / math.log(1 - min(similarity, 0.99) ** ROWS))
 
 
 def samples(sets: list[np.ndarray], count: int) -> np.ndarray:
@@ -139,12 +143,38 @@ def _lists(rows: list[np.ndarray], has: np.ndarray, width: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows).ravel() if rows else np.zeros(0, np.int64)))
 
 
-def _sets(shingle: int):
-    def pick(part: pa.Table, wanted: pa.Table) -> pa.Table:
-        chosen = np.isin(part.column("row").to_numpy(), wanted.column("row").to_numpy())
-        part = part.filter(pa.array(chosen))
-        sets = shingle_sets(texts_of(part.column("text")), shingle)
-        return pa.table({"node": part.column("row"), "hashes": binary([s.tobytes() for s in sets])})
+def _sets_of(part: pa.Table, wanted: np.ndarray, shingle: int) -> tuple[pa.Table, list[np.ndarray]]:
+    part = part.filter(pa.array(np.isin(part.column("row").to_numpy(), wanted)))
+    return part, shingle_sets(texts_of(part.column("text")), shingle)
+
+
+def _send_shingles(shingle: int, owners: int):
+    """A part's question: which shingles of its candidates do other candidates have?"""
+
+    def send(part: pa.Table, wanted: pa.Table) -> pa.Table:
+        own = part.column("part")[0].as_py() if part.num_rows else 0
+        _, sets = _sets_of(part, wanted.column("row").to_numpy(), shingle)
+        flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        distinct, counts = np.unique(flat, return_counts=True)
+        return exchange.messages(own, distinct, counts > 1, owners, 64)
+
+    return send
+
+
+def _possible(shingle: int, owners: int, percent: int):
+    """The sets of those candidates that share enough shingles with all others together."""
+
+    def pick(part: pa.Table, answers: pa.Table) -> pa.Table:
+        wanted = answers.column("row").drop_null().to_numpy()
+        part, sets = _sets_of(part, wanted, shingle)
+        flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        distinct, back = np.unique(flat, return_inverse=True)
+        told = answers.filter(answers.column("owner").is_valid())
+        shared = exchange.marked(distinct, told, owners, 64)[back]
+        sizes = np.array([len(x) for x in sets], np.int64)
+        keep = 100 * sums(shared.astype(np.int64), np.append(0, np.cumsum(sizes))) >= percent * sizes
+        return pa.table({"node": part.column("row").filter(pa.array(keep)),
+                         "hashes": binary([x.tobytes() for x, k in zip(sets, keep, strict=True) if k])})
 
     return pick
 
@@ -173,17 +203,48 @@ class NearDuplicates:
         self.bands = bands_for(percent / 100, misses)
         self.limit = sketch_limit(percent / 100, self.bands * ROWS)
 
-    def _links(self, pairs: DataFrame) -> DataFrame:
+    def _candidates(self, nodes: DataFrame) -> DataFrame:
+        """The full sets (node, hashes) of the nodes that may have a link at all.
+
+        A linked node has at least ``percent`` of its shingles in common with one other
+        candidate. One that has fewer in common with all of them together is out, which
+        is asked by an exchange of shingle hashes.
+        """
+        wanted = stage(nodes.select(F.col("node").alias("row"), F.shiftright("node", 33).cast("int").alias("part")), "wanted")
+        owners = max(1, wanted.count() // 4096)
+        asked = self.table.each_with(["text"], wanted, _send_shingles(self.shingle, owners), exchange.MESSAGE)
+        marks = stage(asked.groupBy("owner").applyInArrow(tidy(exchange.judge), exchange.ANSWER), "marks")
+        told = marks.withColumn("row", F.lit(None).cast("long")).unionByName(
+            wanted.withColumns({"owner": F.lit(None).cast("int"), "marks": F.lit(None).cast("binary")}))
+        return stage(self.table.each_with(
+            ["text"], told, _possible(self.shingle, owners, self.percent), "node long, hashes binary"), "sets")
+
+    def _links(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The pairs (a, b) whose full sets are similar enough."""
-        pairs = stage(pairs, "pairs")
-        nodes = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct()
-        sets = stage(self.table.each_with(
-            ["text"], nodes.withColumn("part", F.shiftright("row", 33).cast("int")), _sets(self.shingle),
-            "node long, hashes binary"), "sets")
         both = (
-            pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a")
+            stage(pairs, "pairs").join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b"))
-        return stage(both.select("a", "b", "x", "y").mapInArrow(_similar(self.percent), "a long, b long"), "confirmed")
+        return stage(both.select("a", "b", "x", "y").mapInArrow(tidy(_similar(self.percent)), "a long, b long"), "confirmed")
+
+    def _stars(self, members: DataFrame, centres: DataFrame) -> DataFrame:
+        """Each member with the centre of its bucket, where they are in different components and their sketches allow it."""
+        near = _differ(F.col("sketch"), F.col("other")) <= self.limit
+        return members.join(stage(centres, "centres"), "key").where("component <> there").where(near).select(
+            F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+
+    @staticmethod
+    def _centre(members: DataFrame, order: Column) -> DataFrame:
+        centre = F.struct(F.col("node").alias("centre"), F.col("sketch").alias("other"), F.col("component").alias("there"))
+        return members.groupBy("key").agg(F.max_by(centre, order).alias("c")).select("key", "c.*")
+
+    @staticmethod
+    def _open(members: DataFrame, links: DataFrame) -> DataFrame:
+        """The members of buckets that lie in several components, with their components."""
+        found = stage(components(links), "components")
+        placed = stage(members.drop("component").join(found, "node", "left").select(
+            "key", "node", "sketch", F.coalesce("component", "node").alias("component")), "placed")
+        several = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+        return stage(placed.join(stage(several.select("key"), "open"), "key"), "members")
 
     def classes(self) -> tuple[DataFrame, DataFrame]:
         """Signatures (row, doc_id, n, set_key, ...) and, per set_key, component_id and keep_row.
@@ -200,29 +261,29 @@ class NearDuplicates:
         nodes = stage(some.groupBy("set_key").agg(
             F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("best"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
             .select(F.col("best.row").alias("node"), "best", "set_key", "bands", "sketch"), "nodes")
-        keyed = nodes.select("node", "sketch", F.explode("bands").alias("key"))
-        shared = stage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
+        keyed = nodes.select("node", F.explode("bands").alias("key"))
+        shared = stage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "buckets")
         members = stage(keyed.join(shared, "key"), "members")
-        # The centre of a bucket: the member with the most company over all its buckets.
-        company = members.groupBy("node").agg(F.sum("size").alias("company"))
-        centres = stage(members.join(company, "node").groupBy("key").agg(F.max_by(
-            F.struct(F.col("node").alias("centre"), F.col("sketch").alias("other")),
-            F.struct("company", -F.col("node"))).alias("c")).select("key", "c.centre", "c.other"), "centres")
+        sets = self._candidates(members.select("node").distinct())
+        sketched = nodes.select("node", "sketch").join(sets.select("node"), "node")
+        members = stage(members.join(sketched, "node").withColumn("component", F.col("node")), "members")
+        # First the member with the most company over all its buckets, the likely original of many copies.
+        sizes = stage(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "sizes")
+        company = stage(members.join(sizes, "key").groupBy("node").agg(F.sum("n").alias("company")), "company")
+        centres = self._centre(members.join(company, "node"), F.struct("company", -F.col("node")))
+        links = self._links(self._stars(members, centres), sets)
+        members = self._open(members, links)
+        # Then, where a bucket is still in pieces, other centres: each bucket has its own, so a member meets many.
+        for turn in range(CENTRES):
+            centres = self._centre(members, F.struct(F.xxhash64("key", "node", F.lit(turn)), -F.col("node")))
+            links = stage(links.unionByName(self._links(self._stars(members, centres), sets)), "links")
+            members = self._open(members, links)
+        # What is then in different components of a bucket is compared in full.
+        other = members.select("key", F.col("node").alias("b"), F.col("sketch").alias("other"), F.col("component").alias("there"))
         near = _differ(F.col("sketch"), F.col("other")) <= self.limit
-        stars = members.join(centres, "key").where("node <> centre").where(near).select(
-            F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-        links = self._links(stars)
-        found = stage(components(links), "components")
-        # Buckets whose members are not all in one component yet.
-        placed = stage(members.select("key", "node", "sketch").join(found, "node", "left").select(
-            "key", "node", "sketch", F.coalesce("component", "node").alias("component")), "placed")
-        open_keys = stage(placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                          .where("lo <> hi").select("key"), "open")
-        left = stage(placed.join(open_keys, "key"), "left")
-        right = left.select("key", F.col("node").alias("b"), F.col("sketch").alias("other"), F.col("component").alias("there"))
-        rest = left.join(right, "key").where("node < b and component <> there").where(near).select(
+        rest = members.join(other, "key").where("node < b and component <> there").where(near).select(
             F.col("node").alias("a"), "b").distinct()
-        links = links.unionByName(self._links(rest))
+        links = links.unionByName(self._links(rest, sets))
         found = components(links)
         by_node = nodes.select("node", "best", "set_key").join(found, "node", "left").select(
             "set_key", "best", F.coalesce("component", "node").alias("component"))
