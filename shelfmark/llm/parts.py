@@ -78,7 +78,7 @@ class PartTable:
             df.toDF(*[f"c{i}" for i in range(len(self.columns))])
             .withColumn("row", F.monotonically_increasing_id())
             .withColumn("part", F.shiftright("row", 33).cast("int"))
-            .write.bucketBy(buckets, "part").saveAsTable(self.name)
+            .write.option("compression", "zstd").bucketBy(buckets, "part").saveAsTable(self.name)
         )
         self.rows = self.spark.table(self.name)
 
