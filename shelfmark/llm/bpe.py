@@ -169,8 +169,10 @@ class WordCodec:
         return ragged(np.concatenate(found), starts[order], counts[order]), counts[order]
 
     def _found(self, word: str) -> list[bytes]:
-        if word.isprintable() and max(word) < self.LATIN_END and "\u0130" not in word:
-            return [p.encode() for p in self.LATIN.findall(word.lower())]
+        low = word.lower()
+        # Some capitals below LATIN_END become letters above it.
+        if word.isprintable() and max(word) < self.LATIN_END and max(low) < self.LATIN_END and "\u0130" not in word:
+            return [p.encode() for p in self.LATIN.findall(low)]
         found = self.words.pre_tokenize_str(self.normal.normalize_str(word))
         return [w.translate(self.to_byte).encode("latin-1") for w, _ in found]
 

@@ -48,6 +48,13 @@ def test_encodes_as_the_library(word_library, texts):
         assert decoded[i] == word_library.decode(expected, skip_special_tokens=False)
 
 
+def test_encodes_every_latin_code_point_as_the_library(word_library):
+    texts = [p for c in map(chr, range(0x250)) for p in (c, c + "bc", "bc" + c, "b" + c + "c", c + "'s")] + ["Əli", "Ɓoye"]
+    ids, at = bpe.codec(WORD).encode(texts_of(pa.array(texts, pa.string())))
+    wrong = [t for i, t in enumerate(texts) if ids[at[i]:at[i + 1]].tolist() != word_library.encode(t, add_special_tokens=False).ids]
+    assert wrong == []
+
+
 def plain_merge(symbols, ranks):
     symbols = list(symbols)
     while True:
