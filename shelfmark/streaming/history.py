@@ -63,10 +63,12 @@ def period_delta(
     across = Window.partitionBy(*keys).orderBy("_stretch")
     border = last.select(*keys, "_stretch", *[F.lag(f"_{v}").over(across).alias(f"_{v}") for v in values])
     same = [F.col(f"c.{k}").eqNullSafe(F.col(f"b.{k}")) for k in [*keys, "_stretch"]]
-    out = counts.withColumns({f"_in_{v}": F.lag(v).over(within) for v in values}).alias("c").join(
-        border.alias("b"), same, "left")
+    # A sum may be null, so a stretch's first window is known by its place and not by a lag without value.
+    placed = counts.withColumns({"_place": F.row_number().over(within), **{f"_in_{v}": F.lag(v).over(within) for v in values}})
+    out = placed.alias("c").join(border.alias("b"), same, "left")
     return out.select(*[f"c.{c}" for c in counts.columns if c != "_stretch"], *[
-        (F.col(v) - F.coalesce(f"_in_{v}", f"_{v}")).alias(d) for v, d in values.items()])
+        (F.col(v) - F.when(F.col("_place") == 1, F.col(f"_{v}")).otherwise(F.col(f"_in_{v}"))).alias(d)
+        for v, d in values.items()])
 
 
 def read_stream(

@@ -47,6 +47,19 @@ def test_period_delta_across_stretches(spark, monkeypatch):
         assert now["total_delta"] == (None if first else now["total"] - before["total"])
 
 
+@pytest.mark.parametrize("stretch", [1, 2, 3, 5, 1000])
+def test_period_delta_of_null_sums_in_any_stretch(spark, monkeypatch, stretch):
+    monkeypatch.setattr(hs, "STRETCH", stretch)
+    df = _events(spark, 240).withColumn("v", F.when((F.col("event_id") / 6).cast("int") % 4 != 1, F.col("event_id") * F.col("event_id")))
+    got = hs.period_delta(df, "ts", "1 hour", ["k"], value="v").orderBy("k", "period_start").collect()
+    assert any(r["total"] is None for r in got)
+    for before, now in zip([None, *got], got):
+        first = before is None or before["k"] != now["k"]
+        none = first or before["total"] is None or now["total"] is None
+        assert now["delta"] == (None if first else now["n"] - before["n"])
+        assert now["total_delta"] == (None if none else now["total"] - before["total"])
+
+
 def test_files_do_not_grow_with_tasks(spark, tmp_path):
     path = str(tmp_path / "h")
     hs.append_history(_events(spark, 2000).repartition(40), path, "ts")
