@@ -153,8 +153,9 @@ def pack(
     ``ids`` are little-endian unsigned 32-bit. ``weights`` sets the target mix per
     source (sources that are not named get their share of all tokens); without it
     every window mirrors the corpus. When a source runs out the others go on, so
-    nothing is dropped. The ``max_queues - 1`` sources with most tokens have queues of
-    their own and all others share one, so the schedule is of bounded size.
+    nothing is dropped. The ``max_queues - 1`` sources with most tokens and all that
+    ``weights`` names have queues of their own. All others share one, so the schedule
+    is of bounded size, and are mixed in it by their tokens, however many they are.
 
     Null texts are empty and consist of ``end_id`` alone; null is a source of its own;
     repeated rows are packed each; an empty table gives no piece. All sequences but
@@ -162,25 +163,27 @@ def pack(
     """
     tokens = _tokens(docs, path, end_id, doc_id, texts, source)
     loads = tokens.groupBy("part", "source").agg(F.sum("n").alias("n"))
-    largest = loads.groupBy("source").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "source").limit(max_queues).collect()
+    sums = loads.groupBy("source").agg(F.sum("n").alias("n"))
+    largest = sums.orderBy(F.desc("n"), "source").limit(max_queues).collect()
     everything = tokens.agg(F.sum("n")).first()[0] or 0
-    named = [r.source for r in largest[:max_queues - 1]] if len(largest) == max_queues else [r.source for r in largest]
-    totals = [r.n for r in largest[:len(named)]]
-    rest = everything - sum(totals)
     wanted = {"" if k is None else f"={k}": w for k, w in (weights or {}).items()}
+    if len(largest) == max_queues:
+        largest = largest[:max_queues - 1]
+        given = sums.where(F.col("source").isin(list(wanted))).orderBy(F.desc("n"), "source").collect() if wanted else []
+        largest += [r for r in given if r not in largest]
+    named, totals = [r.source for r in largest], [r.n for r in largest]
+    rest = everything - sum(totals)
     shares = [n / max(1, everything) for n in [*totals, rest]]
-    mix = [wanted.get(s, share) for s, share in zip([*named, "rest"], shares, strict=True)]
+    mix = [*(wanted.get(s, share) for s, share in zip(named, shares[:-1], strict=True)), shares[-1]]
     schedule = Schedule.of(window, [max(m, 1e-9) for m in mix], [*totals, rest])
 
     numbers = F.create_map(*[F.lit(x) for i, s in enumerate(named) for x in (s, i)]) if named else None
-    queue = F.coalesce(F.element_at(numbers, F.col("source")), F.lit(len(named))) if named else F.lit(0)
-    by_part = loads.withColumn("queue", queue)
-    # One row per queue and part in the outer window, the sources of one part in the inner one.
-    outer = by_part.groupBy("queue", "part").agg(F.sum("n").alias("all")).select(
-        "queue", "part", (F.sum("all").over(Window.partitionBy("queue").orderBy("part")) - F.col("all")).alias("base"))
-    inner = F.sum("n").over(Window.partitionBy("queue", "part").orderBy("source")) - F.col("n")
-    starts = by_part.withColumn("inner", inner).join(outer, ["queue", "part"]).select(
-        "part", "source", "queue", (F.col("base") + F.col("inner")).alias("start"))
+    queue = F.element_at(numbers, F.col("source")) if named else F.lit(None).cast("int")
+    # One row per source and part.
+    by_source = Window.partitionBy("source")
+    starts = loads.select(
+        "part", "source", queue.alias("queue"), F.sum("n").over(by_source).alias("total"),
+        (F.sum("n").over(by_source.orderBy("part")) - F.col("n")).alias("start"))
     width = _width(path)
     fields = "doc_id {}, source string, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -192,10 +195,44 @@ def pack(
             for i, j in _chunks(n):
                 yield _cut(batch.slice(i, j - i), schedule, width)
 
-    placed = tokens.join(starts, ["part", "source"]).select(
+    placed = tokens.join(starts.where("queue is not null"), ["part", "source"]).select(
         "doc_id", "source", "n", "ids", "queue", (F.col("start") + F.col("before")).alias("begin"))
-    return placed.mapInArrow(tidy(cut), fields.format(docs.schema[doc_id].dataType.simpleString())).withColumn(
-        "source", F.when(F.col("source") != "", F.expr("substring(source, 2)")))
+    fields = fields.format(docs.schema[doc_id].dataType.simpleString())
+    packed = placed.mapInArrow(tidy(cut), fields)
+    if rest:
+        runs = _mixed(tokens.join(starts.where("queue is null"), ["part", "source"]), rest)
+        shared = tokens.join(runs, ["part", "source", "before"]).select(
+            "doc_id", "source", "n", "ids", F.lit(len(named)).alias("queue"), "runs")
+        packed = packed.unionByName(shared.mapInArrow(tidy(cut), fields))
+    return packed.withColumn("source", F.when(F.col("source") != "", F.expr("substring(source, 2)")))
+
+
+def _mixed(tail: DataFrame, tokens: int) -> DataFrame:
+    """part, source, before and ``runs`` (at, length, begin): where each document of ``tail`` lies in the shared queue.
+
+    The units of a source have times spread evenly over 0 to 1, each source with an
+    offset of its own, and the queue holds all units by time. So at any time every
+    source has been given its share to within a unit, and no task needs all sources.
+    """
+    begin, one = F.col("start") + F.col("before"), 1 << UNIT_BITS
+    units = F.floor((F.col("total") + (one - 1)) / one)
+    offset = F.pmod(F.xxhash64("source"), F.lit(1 << 52)) / (1 << 52)
+    lo = F.greatest(F.col("unit") * one, F.col("begin"))
+    # A bucket of times has some million tokens, so that no task orders them all.
+    buckets = max(1, tokens >> 22)
+    each = tail.select("part", "source", "before", "n", begin.alias("begin"), units.alias("units"), F.explode(F.sequence(
+        F.shiftright(begin, UNIT_BITS), F.shiftright(begin + F.col("n") - 1, UNIT_BITS))).alias("unit")).select(
+        "part", "source", "before", (lo - F.col("begin")).alias("at"), lo.alias("lo"),
+        (F.least((F.col("unit") + 1) * one, F.col("begin") + F.col("n")) - lo).alias("length"),
+        ((F.col("unit") + offset) / F.col("units")).alias("time"))
+    each = each.withColumn("bucket", F.least(F.floor(F.col("time") * buckets), F.lit(buckets - 1)))
+    # One row per bucket in this window.
+    bases = each.groupBy("bucket").agg(F.sum("length").alias("all")).select(
+        "bucket", (F.sum("all").over(Window.orderBy("bucket")) - F.col("all")).alias("base"))
+    ordered = Window.partitionBy("bucket").orderBy("time", "source", "lo").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = each.withColumn("within", F.coalesce(F.sum("length").over(ordered), F.lit(0))).join(bases, "bucket")
+    return ranked.groupBy("part", "source", "before").agg(F.sort_array(F.collect_list(F.struct(
+        "at", "length", (F.col("base") + F.col("within")).alias("begin")))).alias("runs"))
 
 
 def _chunks(n: np.ndarray, limit: int = 1 << 21) -> list[tuple[int, int]]:
@@ -213,8 +250,13 @@ def _cut(batch: pa.RecordBatch, schedule: Schedule, width: str) -> pa.RecordBatc
     blob = batch.column("ids")
     offsets = np.frombuffer(blob.buffers()[1], np.int32)[blob.offset:blob.offset + len(blob) + 1]
     ids = np.frombuffer(blob.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(width).astype("<u4")
-    doc, start, length, sequence, offset = schedule.pieces(
-        batch.column("queue").to_numpy().astype(np.int64), batch.column("begin").to_numpy(), sizes)
+    queue = batch.column("queue").to_numpy().astype(np.int64)
+    if "runs" in batch.schema.names:
+        own, at, long, begin = _runs(batch.column("runs"))
+        run, start, length, sequence, offset = schedule.pieces(queue[own], begin, long)
+        doc, start = own[run], at[run] + start
+    else:
+        doc, start, length, sequence, offset = schedule.pieces(queue, batch.column("begin").to_numpy(), sizes)
     # Pieces of a document follow one another, so the ids are cut where they stand.
     ends = np.append(0, np.cumsum(length) * 4).astype(np.int32)
     return pa.record_batch({
@@ -225,6 +267,16 @@ def _cut(batch: pa.RecordBatch, schedule: Schedule, width: str) -> pa.RecordBatc
         "offset": pa.array(offset, pa.int64())})
 
 
+def _runs(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Document, place in it, length and place in the queue of each run; neighbours in both are one."""
+    doc = np.repeat(np.arange(len(column)), column.value_lengths().to_numpy())
+    at, length, begin = (x.to_numpy() for x in column.flatten().flatten())
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (begin[1:] != begin[:-1] + length[:-1])
+    first = np.flatnonzero(new)
+    return doc[first], at[first], np.add.reduceat(length, first), begin[first]
+
+
 def sequences(pieces: DataFrame) -> DataFrame:
     """The packed sequences themselves: sequence_id, ids (binary), and where the pieces begin."""
     rows = F.sort_array(F.collect_list(F.struct("offset", "ids")))

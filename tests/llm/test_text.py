@@ -196,6 +196,31 @@ def test_packing_holds_the_mix(spark, word_library):
     assert all(abs(by_window[w]["c"] - 1024) <= 3 * 64 for w in range(total["c"] // 1024 - 1))
 
 
+def test_packing_mixes_sources_without_a_queue_of_their_own(spark, word_library):
+    r = random.Random(5)
+    named = ["a"] * 60 + ["b"] * 50 + [f"t{i}" for i in range(30) for _ in range(1 + i % 4)] + [None] * 3
+    rows = [(i, "cat " * r.randint(100, 900), s) for i, s in enumerate(named)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    total = Counter()
+    for _, t, s in rows:
+        total[s] += len(t) // 4 + 1
+    tail = [s for s in total if s not in ("a", "b")]
+    expected = Counter((i, np.array([*word_library.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes()) for i, t, _ in rows)
+    by_window = check_pieces(packing.pack(docs, WORD, window=2048, max_queues=3).collect(), expected, 2048)
+    done, all_of = Counter(), sum(total[s] for s in tail)
+    for w in sorted(by_window):
+        done += by_window[w]
+        part = sum(done[s] for s in tail) / all_of
+        assert all(abs(done[s] - part * total[s]) <= 4 * 64 for s in tail)
+    # A source that weights names has its weight, however small it is.
+    packed = packing.pack(docs, WORD, window=2048, max_queues=3, weights={"t7": 1.0, None: 0.5, "absent": 3}).collect()
+    by_window = check_pieces(packed, expected, 2048)
+    mix = {"t7": 1.0, None: 0.5}
+    whole = sum(mix.values()) + sum(n for s, n in total.items() if s not in mix) / total.total()
+    for s, w in mix.items():
+        assert all(abs(by_window[i][s] - 2048 * w / whole) <= 3 * 64 for i in range(int(min(total[x] / (2048 * y / whole) for x, y in mix.items())) - 1))
+
+
 def test_schedule_is_one_round_robin():
     """The closed form gives what playing the rounds gives."""
     schedule = packing.Schedule.of(256, [5, 3, 0.01], [9000, 2000, 130])
