@@ -13,7 +13,7 @@ from shelfmark.operators import recommend as rc
 from shelfmark.operators.aggregate import mean_distinct_per_group
 from shelfmark.plans import bindings as b
 from shelfmark.plans.oracle_tables import BASELINE_RECS, BIAS, ENTITY, INTERACTIONS, SPLIT, on
-from shelfmark.plans.registry import query
+from shelfmark.plans.registry import ORACLES, query
 from shelfmark.sources.readers import load_als, load_features
 from shelfmark.sources.staging import scratch_path
 from shelfmark.sources.writers import save_model
@@ -278,6 +278,20 @@ def _(spark, folder):
                       F.col("als_params.regParam").alias("reg_param"))
 
 
+@query("metrics_row_whole", f"""
+select rmse, mae, coverage_percent, avg_diversity, 12 as rank, 7 as max_iter, 0.05::double as reg_param
+from ({ORACLES["rating_error"]}), ({ORACLES["coverage"]}), ({ORACLES["diversity"]})""")
+def _(spark, folder):
+    recs = b.baseline_recs(spark, folder)
+    row = ev.metrics_row(
+        ev.rating_error(b.bias_predictions(spark, folder), "score"),
+        ev.coverage(recs, b.interactions(spark, folder), "item_id"),
+        ev.diversity(recs, b.parts_metadata(spark, folder), "user_id", "item_id", "category"),
+        {"rank": 12, "maxIter": 7, "regParam": 0.05})
+    return row.select("rmse", "mae", "coverage_percent", "avg_diversity", "als_params.rank",
+                      F.col("als_params.maxIter").alias("max_iter"), F.col("als_params.regParam").alias("reg_param"))
+
+
 @query("als_list_lengths", on(SPLIT, """
 select user_id, least(10, (select count(distinct item_id) from flagged where train)) as items
 from flagged where train group by user_id"""))

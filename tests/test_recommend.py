@@ -5,6 +5,8 @@ from shelfmark.operators import evaluate as ev
 from shelfmark.operators import features as fe
 from shelfmark.operators import recommend as rc
 from shelfmark.plans import bindings as b
+from shelfmark.plans import queries_recommend  # noqa: F401
+from shelfmark.plans.registry import QUERIES
 from shelfmark.sources import readers as rd
 from shelfmark.sources import writers as wr
 
@@ -111,6 +113,20 @@ def test_metrics_of_nothing_are_null(spark):
     assert rows(ev.rating_error(df, "score")) == [(pytest.approx(2**0.5, abs=1e-6), 1.0)]
 
 
+def test_a_swapped_metric_shows_in_a_query(spark, folder, monkeypatch):
+    def found():
+        return [rows(QUERIES[q](spark, folder)) for q in sorted(QUERIES) if q.startswith("metrics_row")]
+
+    right, made = found(), ev.metrics_row
+
+    def swapped(error, covered, diverse, params):
+        as_covered = diverse.select(F.col("avg_diversity").alias("coverage_percent"))
+        return made(error, as_covered, covered.select(F.col("coverage_percent").alias("avg_diversity")), params)
+
+    monkeypatch.setattr(ev, "metrics_row", swapped)
+    assert found() != right
+
+
 def test_item_metadata_keeps_one_row_per_index(spark):
     items = spark.createDataFrame([("a", 0), ("a", 0), ("b", 1), ("zz", 2)], "key string, idx int")
     details = spark.createDataFrame([("a", "A", 1), ("b", "B", 2)], "key string, name string, extra int")
