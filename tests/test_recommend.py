@@ -86,6 +86,13 @@ def test_recommender_run(spark, folder, tmp_path):
     assert back["als_params"]["rank"] == 10 and back["rmse"] == m["rmse"]
 
 
+@pytest.mark.parametrize("left", [0, 1, 2])
+def test_a_lost_list_shows_in_the_subset_check(spark, folder, monkeypatch, left):
+    made = rc.recommend_for
+    monkeypatch.setattr(rc, "recommend_for", lambda model, users, *a: made(model, users, *a).where(F.col("user_id") % 3 != left))
+    assert rows(QUERIES["als_subset_check"](spark, folder))[0][0] > 0
+
+
 def test_ids_beyond_int_are_refused(spark):
     big = spark.createDataFrame([(2**40, 1, 3.0)], "u long, i int, s double")
     with pytest.raises(Exception, match="Integer range|CAST_OVERFLOW"):
