@@ -14,6 +14,7 @@ from shelfmark.llm.exact_dedup import exact_duplicates
 from shelfmark.llm.line_dedup import BLOCKS, MIN_PAGES, RATIO, drop_boilerplate, host_of, lines_of
 from shelfmark.llm.minhash import near_duplicates
 from shelfmark.llm.packing import pack
+from shelfmark.llm.periodic import periodic_runs, repeat_tail
 from shelfmark.llm.quality import fit, held_out, score
 from shelfmark.llm.suffix_dedup import suffix_duplicates
 from shelfmark.llm.token_counts import count_tokens
@@ -154,3 +155,8 @@ def op4(spark, folder):
 def op8(spark, folder):
     return suffix_duplicates(table(spark, folder, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_periodic_runs")
+def op11(spark, folder):
+    return periodic_runs(table(spark, folder, "documents"), whole=False, edit=repeat_tail)
