@@ -12,6 +12,7 @@ from shelfmark.llm.bpe import encode_digests
 from shelfmark.llm.chat import chat_digests
 from shelfmark.llm.exact_dedup import exact_duplicates
 from shelfmark.llm.line_dedup import BLOCKS, MIN_PAGES, RATIO, drop_boilerplate, host_of, lines_of
+from shelfmark.llm.main_text import main_text
 from shelfmark.llm.minhash import near_duplicates
 from shelfmark.llm.packing import pack
 from shelfmark.llm.periodic import periodic_runs, repeat_tail
@@ -160,3 +161,8 @@ def op8(spark, folder):
 @query("op11_periodic_runs")
 def op11(spark, folder):
     return periodic_runs(table(spark, folder, "documents"), whole=False, edit=repeat_tail)
+
+
+@query("op13_main_text")
+def op13(spark, folder):
+    return main_text(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
