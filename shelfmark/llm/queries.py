@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.bpe import encode_digests
 from shelfmark.llm.chat import chat_digests
+from shelfmark.llm.collocations import collocations
 from shelfmark.llm.exact_dedup import exact_duplicates
 from shelfmark.llm.line_dedup import BLOCKS, MIN_PAGES, RATIO, drop_boilerplate, host_of, lines_of
 from shelfmark.llm.main_text import main_text
@@ -166,3 +167,33 @@ def op11(spark, folder):
 @query("op13_main_text")
 def op13(spark, folder):
     return main_text(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query("op12_collocations", r"""
+with d as (
+  select coalesce(lang, 'und') as lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+s as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\n\x0B\f\r]')) as s from d),
+w as (select lang, list_filter(regexp_split_to_array(s, '[ \t]+'), lambda x: x <> '') as w from s),
+o as (select lang, w, unnest(range(1, len(w) + 1)) as i from w),
+p as (select lang, w, i, unnest(range(1, least(5, len(w) - i + 1) + 1)) as k from o),
+f as (select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase, count(*) as a from p group by all),
+n as (select lang, sum(a)::hugeint as n from f where k = 1 group by lang),
+c as (select *, string_split(phrase, ' ') as w from f where a >= 100 and k > 1),
+j as (select *, unnest(range(1, k)) as j from c),
+x as (
+  select j.*, l.a as l, r.a as r, n.n, (1000::hugeint * j.a * n.n) // (l.a::hugeint * r.a) as score from j
+  join f as l on l.lang = j.lang and l.phrase = array_to_string(j.w[1:j.j], ' ')
+  join f as r on r.lang = j.lang and r.phrase = array_to_string(j.w[j.j + 1:], ' ')
+  join n on n.lang = j.lang),
+b as (select * from x qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+m as (
+  select * from b where not exists (
+    select 1 from c where c.lang = b.lang and c.k > b.k and 100 * c.a >= 100 * b.a
+      and contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' ')))
+select * from (
+  select lang, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank, phrase, a, l, r,
+    n::bigint as n, score::bigint as score from m)
+where rank <= 2000""")
+def op12(spark, folder):
+    return collocations(table(spark, folder, "documents"))
