@@ -15,28 +15,32 @@ from shelfmark.operators.project import select_existing
 from shelfmark.sources.staging import stage
 
 
-def label_codes(df: DataFrame, col: str, code: str = "code") -> DataFrame:
-    """Every non-null label with its row count and code 0, 1, ...: frequent labels first, ties by label.
+def in_sorted_order(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
+    """The table with each row's place 0, 1, ... in a total order.
 
-    Numbers any amount of labels without a single-task window: the labels are
-    sorted across tasks, numbered within each, and shifted by the sizes of the
-    tasks before. The sorted table is staged so that its numbers stay fixed.
+    Numbers any amount of rows without a single-task window: they are sorted across
+    tasks, numbered within each, and shifted by the sizes of the tasks before. The
+    sorted table is staged so that its numbers stay fixed.
     """
-    counts = (
-        df.where(F.col(f"`{col}`").isNotNull())
-        .groupBy(F.col(f"`{col}`").alias("label")).agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.col("n").desc(), "label")
-        .withColumn("_id", F.monotonically_increasing_id())
-    )
+    placed = df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
     # The upper bits are the task, the lower 33 the position in it.
-    fixed = stage(counts, "labels").withColumn("_task", F.shiftright("_id", 33))
+    fixed = stage(placed, "sorted").withColumn("_task", F.shiftright("_id", 33))
     sizes = fixed.groupBy("_task").agg(F.count(F.lit(1)).alias("_size"))
     # One row per sort task, so this window stays small.
     before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_task", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     position = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
     return fixed.join(F.broadcast(starts), "_task").select(
-        "label", "n", (F.col("_start") + position).alias(code))
+        *[F.col(f"`{c}`") for c in df.columns], (F.col("_start") + position).alias(out))
+
+
+def label_codes(df: DataFrame, col: str, code: str = "code") -> DataFrame:
+    """Every non-null label with its row count and code 0, 1, ...: frequent labels first, ties by label."""
+    counts = (
+        df.where(F.col(f"`{col}`").isNotNull())
+        .groupBy(F.col(f"`{col}`").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    )
+    return in_sorted_order(counts, [F.col("n").desc(), F.col("label")], code)
 
 
 def index_labels(

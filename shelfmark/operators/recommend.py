@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.derive import md5_number
 from shelfmark.functions.presets import ALS_PARAMS, TRAIN_PERCENT
+from shelfmark.operators.best_items import best_items
 from shelfmark.operators.cleaning import dedup
 from shelfmark.operators.joins import skew_join
 from shelfmark.operators.project import select_existing
@@ -64,6 +65,20 @@ def recommend_all(model: ALSModel, n: int = 10, digits: int = 4) -> DataFrame:
     return _listed(model, model.recommendForAllUsers(n), digits)
 
 
+def recommend_best(model: ALSModel, n: int = 10, digits: int = 4, users: DataFrame | None = None) -> DataFrame:
+    """The lists of ``recommend_all`` without scoring all pairs, see ``best_items``; of equal scores the smaller item comes first.
+
+    Products are of doubles here, of floats there, so a score may differ in its last
+    digit. ``users`` names some users only; unknown ones give no row.
+    """
+    user, item = model.getUserCol(), model.getItemCol()
+    factors = model.userFactors
+    if users is not None:
+        factors = factors.join(users.select(F.col(user).cast("int").alias("id")).distinct(), "id", "left_semi")
+    return best_items(factors, model.itemFactors, n).select(
+        F.col("user").alias(user), F.col("item").alias(item), F.round(F.col("score").cast("float"), digits).alias("predicted_score"))
+
+
 def recommend_for(model: ALSModel, users: DataFrame, n: int = 10, digits: int = 4) -> DataFrame:
     """The top ``n`` items of the given users only; unknown users give no row."""
     return _listed(model, model.recommendForUserSubset(users, n), digits)

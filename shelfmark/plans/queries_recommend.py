@@ -11,11 +11,12 @@ from shelfmark.operators import features as fe
 from shelfmark.operators import rank as rk
 from shelfmark.operators import recommend as rc
 from shelfmark.operators.aggregate import mean_distinct_per_group
+from shelfmark.operators.best_items import best_items
 from shelfmark.plans import bindings as b
 from shelfmark.plans.oracle_tables import BASELINE_RECS, BIAS, ENTITY, INTERACTIONS, SPLIT, on
 from shelfmark.plans.registry import ORACLES, query
 from shelfmark.sources.readers import load_als, load_features
-from shelfmark.sources.staging import scratch_path
+from shelfmark.sources.staging import scratch_path, stage
 from shelfmark.sources.writers import save_model
 
 
@@ -298,3 +299,45 @@ from flagged where train group by user_id"""))
 def _(spark, folder):
     recs = b.als_run(spark, folder).recommendations
     return recs.groupBy("user_id").agg(F.countDistinct("item_id").alias("items"))
+
+
+_USER_VECTOR = ["c_nationkey", "c_custkey % 13 - 6", "c_custkey % 7 - 3"]
+_ITEM_VECTOR = ["p_size - 20", "p_partkey % 11 - 5", "(p_partkey % 5 - 2) * (1 + p_size % 4)"]
+
+
+def _vector(cols: list[str]):
+    return F.array(*[F.expr(c).cast("double") for c in cols]).alias("features")
+
+
+@query("best_items", f"""
+with s as (
+  select c_custkey as user_id, p_partkey as item_id,
+    ({" + ".join(f"({u}) * ({i})" for u, i in zip(_USER_VECTOR, _ITEM_VECTOR, strict=True))})::double as score
+  from customer, part),
+r as (select *, row_number() over (partition by user_id order by score desc, item_id) as rank from s)
+select user_id, rank::int as rank, item_id, score from r where rank <= 10""")
+def _(spark, folder):
+    users = b.table(spark, folder, "customer").select(F.col("c_custkey").alias("id"), _vector(_USER_VECTOR))
+    items = b.table(spark, folder, "part").select(F.col("p_partkey").alias("id"), _vector(_ITEM_VECTOR))
+    return best_items(users, items, 10).select(
+        F.col("user").alias("user_id"), "rank", F.col("item").alias("item_id"), "score")
+
+
+@query("als_best_check", "select 0::bigint as differing")
+def _(spark, folder):
+    # The scores are, place by place, those of the lists that all pairs give, and each is the product of its factors.
+    model = b.als_run(spark, folder).model
+    best = stage(rc.recommend_best(model), "best")
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("predicted_score"), "item_id"))
+
+    def placed(lists, name):
+        return lists.select("user_id", place.alias("place"), F.col("predicted_score").alias(name))
+
+    scores = placed(best, "here").join(placed(rc.recommend_all(model), "there"), ["user_id", "place"], "full")
+    apart = scores.agg(F.count_if(~F.coalesce(F.abs(F.col("here") - F.col("there")) < 1e-3, F.lit(False))).alias("n"))
+    users = model.userFactors.select(F.col("id").cast("bigint").alias("user_id"), F.col("features").alias("u"))
+    items = model.itemFactors.select(F.col("id").cast("bigint").alias("item_id"), F.col("features").alias("i"))
+    product = F.aggregate(F.zip_with("u", "i", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
+    wrong = best.join(users, "user_id").join(items, "item_id").agg(
+        F.count_if(F.abs(product - F.col("predicted_score")) > 1e-3).alias("n"))
+    return apart.unionByName(wrong).agg(F.sum("n").alias("differing"))
