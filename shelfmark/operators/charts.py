@@ -11,6 +11,7 @@ from shelfmark.functions.derive import steady_round
 from shelfmark.operators.aggregate import count_by
 from shelfmark.operators.joins import skew_join
 from shelfmark.operators.quantiles import quantiles, value_counts
+from shelfmark.sources.staging import stage
 
 
 def share(df: DataFrame, col: str, digits: int = 1) -> DataFrame:
@@ -23,17 +24,15 @@ def share(df: DataFrame, col: str, digits: int = 1) -> DataFrame:
     )
 
 
-def _fences(df: DataFrame, group: str, value: str) -> tuple[DataFrame, DataFrame]:
-    """Quartiles per group, and every distinct value with its group's limits."""
-    quartiles = quantiles(df, value, [0.25, 0.5, 0.75], by=[group], names=["q1", "median", "q3"])
-    keyed = quartiles.select(F.struct(F.col(group)).alias("_key"), "q1", "median", "q3")
-    values = value_counts(df, value, [group]).select(F.struct(F.col(group)).alias("_key"), "_v", "_n")
+def _fences(df: DataFrame, group: str, value: str) -> DataFrame:
+    """Every known value with its group's quartiles and whether it lies within the limits."""
+    key, v = F.struct(F.col(f"`{group}`")).alias("_key"), F.col(f"`{value}`").cast("double") + 0.0
+    # Read three times, so two columns of it are written once.
+    values = stage(df.select(key, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v")), "box")
+    quartiles = stage(quantiles(values, "_v", [0.25, 0.5, 0.75], by=["_key"], names=["q1", "median", "q3"]), "quartiles")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    limits = (
-        skew_join(values, keyed, ["_key"], how="inner", spread_by=["_v"])
-        .withColumn("_inside", (F.col("_v") >= F.col("q1") - reach) & (F.col("_v") <= F.col("q3") + reach))
-    )
-    return quartiles, limits
+    return values.join(quartiles, "_key").withColumn(
+        "_inside", (F.col("_v") >= F.col("q1") - reach) & (F.col("_v") <= F.col("q3") + reach))
 
 
 def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -41,15 +40,14 @@ def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
 
     Highest median first. The quartiles are exact.
     """
-    _, limits = _fences(df, group, value)
     inside = F.when(F.col("_inside"), F.col("_v"))
     return (
-        limits.groupBy("_key")
+        _fences(df, group, value).groupBy("_key")
         .agg(
-            F.sum("_n").alias("n"),
+            F.count(F.lit(1)).alias("n"),
             F.max("q1").alias("q1"), F.max("median").alias("median"), F.max("q3").alias("q3"),
             F.min(inside).alias("whisker_low"), F.max(inside).alias("whisker_high"),
-            F.sum(F.when(F.col("_inside"), F.lit(0)).otherwise(F.col("_n"))).alias("outliers"),
+            F.count_if(~F.col("_inside")).alias("outliers"),
         )
         .select(F.col(f"_key.`{group}`").alias(group), "n", "q1", "median", "q3",
                 "whisker_low", "whisker_high", "outliers")
@@ -59,9 +57,9 @@ def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
 
 def box_outliers(df: DataFrame, group: str, value: str) -> DataFrame:
     """The values beyond the whiskers, with their row counts."""
-    _, limits = _fences(df, group, value)
-    return limits.where(~F.col("_inside")).select(
-        F.col(f"_key.`{group}`").alias(group), F.col("_v").alias(value), F.col("_n").alias("n"))
+    beyond = _fences(df, group, value).where(~F.col("_inside"))
+    return beyond.groupBy("_key", "_v").agg(F.count(F.lit(1)).alias("n")).select(
+        F.col(f"_key.`{group}`").alias(group), F.col("_v").alias(value), "n")
 
 
 def scatter_points(df: DataFrame, x: str, y: str, label: str, log_x: bool = True) -> DataFrame:

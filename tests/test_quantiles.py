@@ -87,3 +87,50 @@ def test_tables_are_read_anew(spark, tmp_path):
             df.write.mode("overwrite").parquet(f"{folder}/{name}.parquet")
         counts.append(b.entity(spark, folder).count())
     assert counts[0] < counts[1]
+
+
+def _shuffled(df):
+    """Rows written by each shuffle of a query that was run."""
+    plan = df._jdf.queryExecution().executedPlan()
+    found, stack = [], [plan.finalPhysicalPlan() if "AdaptiveSparkPlan" in plan.nodeName() else plan]
+    while stack:
+        node = stack.pop()
+        if node.nodeName() == "Exchange":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        stack += [children.apply(i) for i in range(children.size())]
+        if "QueryStage" in node.nodeName():
+            stack.append(node.plan())
+    return found
+
+
+def test_large_groups_shuffle_few_values(spark):
+    df = spark.range(400_000).selectExpr("if(id % 4 = 0, 'b', 'a') as g", "cast(hash(id) as double) as v").cache()
+    df.count()
+    found = quantiles(df, "v", [0.25, 0.5], by=["g"], few_groups=True)
+    got = {r[0]: tuple(r[1:]) for r in rows(found)}
+    exact = df.groupBy("g").agg(F.expr("percentile(v, array(0.25, 0.5))").alias("p")).collect()
+    assert got == {r[0]: pytest.approx(tuple(r[1])) for r in exact}
+    assert max(_shuffled(found)) < 0.1 * 400_000
+
+
+@pytest.mark.parametrize("n", [4095, 4096, 4097, 30_000])
+def test_brackets_at_the_border_of_small_groups(spark, n):
+    rng = np.random.default_rng(n)
+    data = rng.choice([rng.normal(size=n), np.round(rng.normal(size=n), 1)], axis=0)
+    df = spark.createDataFrame([(float(x),) for x in data], "v double").repartition(5)
+    assert rows(quantiles(df, "v", PROBS))[0] == pytest.approx(tuple(np.quantile(data, PROBS)), rel=1e-12)
+
+
+def test_a_missed_bracket_is_an_error(spark, monkeypatch):
+    from shelfmark.operators import quantiles as q
+
+    monkeypatch.setattr(q, "SMALL", 0)
+    monkeypatch.setattr(q, "MARGIN", -0.2)
+    df = spark.range(1000).selectExpr("cast(id as double) as v")
+    got = quantiles(df, "v", [0.5])
+    # Without any value inside there is no row; with some, no wrong value is given.
+    try:
+        assert rows(got) == []
+    except Exception as e:
+        assert "outside its bracket" in str(e)
