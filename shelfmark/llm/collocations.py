@@ -1,10 +1,10 @@
 """Phrases whose words keep together, from streams of counts in two orders.
 
-Counting takes three passes over the texts. The first two count words and word pairs by
-a hash and leave a bitmap of fixed size, in which every word or pair that is frequent
-has its bit; a phrase with a rare word or pair is rare itself. The third counts what the
-bitmaps leave, phrases of up to five words, by the phrases themselves, so the counts are
-exact whatever the hashes do.
+Counting takes four passes over the texts. The first three count words, pairs and
+triples of words by a hash and leave a bitmap of fixed size each, in which all that are
+frequent have their bits; a phrase with a rare word, pair or triple is rare itself. The
+last one counts what the bitmaps leave, phrases of up to five words, by the phrases
+themselves, so the counts are exact whatever the hashes do.
 
 The counts of all orders are then one stream in prefix order: a phrase comes right after
 those it begins with, so one stack holds the counts of all its beginnings, and of its
@@ -29,10 +29,12 @@ from shelfmark.llm.words import keys, mix
 from shelfmark.sources.staging import stage
 
 MOST_WORDS = 5
-# Bits of a bitmap: 32 a frequent word or pair, between these bounds (128 KB and 32 MB).
+# Words of the longest phrases that are counted by a hash first.
+HASHED = 3
+# Bits of a bitmap: 32 a frequent phrase, between these bounds (128 KB and 32 MB).
 LEAST_BITS, MOST_BITS = 20, 28
 # Texts are counted in groups of about this many bytes.
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 2 << 20
 # A first or last word with more phrases than this is split.
 SPLIT_FROM = 1 << 16
 
@@ -74,7 +76,7 @@ class Words:
 
     def whole(self, k: int) -> np.ndarray:
         """From which places on ``k`` words lie in one piece."""
-        return self.piece[:len(self.piece) - k + 1] == self.piece[k - 1:]
+        return self.piece[:max(0, len(self.piece) - k + 1)] == self.piece[k - 1:]
 
     def phrase(self, i: int, k: int) -> bytes:
         return b" ".join(self.data[self.starts[i]:self.ends[i + k - 1]].tobytes().split())
@@ -125,14 +127,14 @@ def _word_groups(batches) -> Iterator[tuple[Words, list[str]]]:
             yield Words(texts.slice(i, j - i), np.array([known[x] for x in own], np.uint64)), own
 
 
-def _count_hashes(k: int, rare: Bitmap | None):
-    """Hashes of ``k`` words (one or two) and how often each occurs in a group of texts."""
+def _count_hashes(k: int, shorter):
+    """Hashes of ``k`` words and how often each occurs in a group of texts, where both its parts of k - 1 words are in a bitmap."""
 
     def run(batches):
         for words, _ in _word_groups(batches):
             ok = words.whole(k)
-            if k == 2:
-                frequent = rare.value.has(words.chain(1)[0])
+            if shorter is not None:
+                frequent = shorter.value.has(words.chain(k - 1)[0])
                 ok = ok & frequent[:-1] & frequent[1:]
             h, count = np.unique(words.chain(k)[0][ok], return_counts=True)
             yield pa.record_batch({"h": pa.array(h.view(np.int64)), "n": pa.array(count)})
@@ -140,20 +142,21 @@ def _count_hashes(k: int, rare: Bitmap | None):
     return run
 
 
-def _count_phrases(one, two):
+def _count_phrases(bitmaps):
     """Phrases that no bitmap rules out with their counts in a group of texts; the empty phrase counts all words."""
 
     def run(batches):
         for words, langs in _word_groups(batches):
             total = np.bincount(words.text, minlength=len(langs))
             out_lang, out_phrase, out_count = list(langs), [b""] * len(langs), total.tolist()
-            ok = one.value.has(words.chain(1)[0])
-            pairs = two.value.has(words.chain(2)[0]) & words.whole(2) & ok[:-1] & ok[1:] if len(ok) > 1 else ok[:0]
+            ok = words.whole(1)
             for k in range(1, MOST_WORDS + 1):
+                if k > 1:
+                    ok = ok[:-1] & ok[1:]
                 if k == 2:
-                    ok = pairs
-                elif k > 2:
-                    ok = ok[:-1] & pairs[k - 2:]
+                    ok = ok & words.whole(2)
+                if k <= len(bitmaps):
+                    ok = ok & bitmaps[k - 1].value.has(words.chain(k)[0])
                 place = np.flatnonzero(ok)
                 if not len(place):
                     break
@@ -175,13 +178,14 @@ def phrase_counts(docs: DataFrame, least: int) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
 
-    def frequent(k: int, rare) -> Bitmap:
-        hashes = docs.mapInArrow(tidy(_count_hashes(k, rare)), "h long, n long")
+    def frequent(k: int, shorter) -> Bitmap:
+        hashes = docs.mapInArrow(tidy(_count_hashes(k, shorter)), "h long, n long")
         return Bitmap(stage(hashes.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h"), "frequent"))
 
-    one = spark.sparkContext.broadcast(frequent(1, None))
-    two = spark.sparkContext.broadcast(frequent(2, one))
-    counted = docs.mapInArrow(tidy(_count_phrases(one, two)), "lang string, phrase string, n long")
+    bitmaps: list = []
+    for k in range(1, HASHED + 1):
+        bitmaps.append(spark.sparkContext.broadcast(frequent(k, bitmaps[-1] if bitmaps else None)))
+    counted = docs.mapInArrow(tidy(_count_phrases(bitmaps)), "lang string, phrase string, n long")
     found = counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     return stage(found.where((F.col("n") >= least) | (F.col("phrase") == "")), "counts")
 
