@@ -103,8 +103,11 @@ def feature_table(
 ) -> DataFrame:
     """Scalar features per item: label codes, a user bucket and a 1..5 interaction score.
 
-    Codes are doubles, as in ML vectors. ``score`` is scaled by its range first.
+    Codes are doubles, as in ML vectors. ``score`` is scaled by its range first. The
+    columns that are needed are written once, as ranges and labels are counted on them.
     """
+    needed = dict.fromkeys([key, score, *labels, *keep])
+    df = stage(select_existing(df, list(needed)), "items")
     out = min_max(df, {score: "_unit"}).withColumns({
         user: assign_bucket(key, users), interaction: rescale_to_int("_unit"),
     })

@@ -114,9 +114,14 @@ def interactions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def baseline_recs(spark: SparkSession, folder: str) -> DataFrame:
+def pairs_of(spark: SparkSession, folder: str) -> DataFrame:
+    """The pairs of user and item alone, written."""
+    return stage(interactions(spark, folder).select("user_id", "item_id"), "pairs")
+
+
+def baseline_recs(spark: SparkSession, folder: str, pairs: DataFrame | None = None) -> DataFrame:
     """Each user's ten items that most users have, ties by item."""
-    pairs = stage(interactions(spark, folder).select("user_id", "item_id"), "pairs")
+    pairs = pairs_of(spark, folder) if pairs is None else pairs
     users = pairs.groupBy("item_id").agg(F.count(F.lit(1)).alias("users"))
     return top_n_per_group(
         skew_join(pairs, users, ["item_id"]), ["user_id"], [F.col("users").desc(), F.col("item_id")], 10)

@@ -180,7 +180,8 @@ def _(spark, folder):
 select covered, total, round(covered * 100.0::double / total, 2) as coverage_percent from
  (select count(distinct item_id) as covered from baseline_recs), (select count(distinct item_id) as total from interactions)"""))
 def _(spark, folder):
-    return ev.coverage(b.baseline_recs(spark, folder), b.interactions(spark, folder), "item_id")
+    pairs = b.pairs_of(spark, folder)
+    return ev.coverage(b.baseline_recs(spark, folder, pairs), pairs, "item_id")
 
 
 _DIVERSITY = "select round(avg(d), 4) as avg_diversity from " \
@@ -283,10 +284,11 @@ def _(spark, folder):
 select rmse, mae, coverage_percent, avg_diversity, 12 as rank, 7 as max_iter, 0.05::double as reg_param
 from ({ORACLES["rating_error"]}), ({ORACLES["coverage"]}), ({ORACLES["diversity"]})""")
 def _(spark, folder):
-    recs = b.baseline_recs(spark, folder)
+    pairs = b.pairs_of(spark, folder)
+    recs = stage(b.baseline_recs(spark, folder, pairs), "recs")
     row = ev.metrics_row(
         ev.rating_error(b.bias_predictions(spark, folder), "score"),
-        ev.coverage(recs, b.interactions(spark, folder), "item_id"),
+        ev.coverage(recs, pairs, "item_id"),
         ev.diversity(recs, b.parts_metadata(spark, folder), "user_id", "item_id", "category"),
         {"rank": 12, "maxIter": 7, "regParam": 0.05})
     return row.select("rmse", "mae", "coverage_percent", "avg_diversity", "als_params.rank",
