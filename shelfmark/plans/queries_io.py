@@ -11,10 +11,13 @@ from shelfmark.plans import bindings as b
 from shelfmark.plans.cleaning import clean
 from shelfmark.plans.oracle_tables import ENTITY, RAW, on
 from shelfmark.plans.registry import query
+from shelfmark.sources import commits as cm
 from shelfmark.sources import readers as rd
 from shelfmark.sources import writers as wr
 from shelfmark.sources.staging import scratch_path
 from shelfmark.streaming import history as hs
+from shelfmark.streaming import runs as rn
+from shelfmark.streaming import stateful as sf
 
 _CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 
@@ -194,3 +197,79 @@ def _(spark, folder):
 @query("stream_append", "select *, ts::date as collected_day from events")
 def _(spark, folder):
     return _run(spark, _stream(spark, folder), day_of="ts")
+
+
+@query("append_runs", "select event_id, ts, user_id, value, ts::date as collected_day from events")
+def _(spark, folder):
+    # Two runs. The second one fails half-way, is repeated, and then comes once more.
+    path = scratch_path(spark, "runs")
+    events = _events(spark, folder).select("event_id", "ts", "user_id", "value")
+    early = F.col("ts") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    rn.append_run(events.where(early), path, "first", "ts")
+    late = events.where(~early)
+    broken = late.withColumn("value", F.when(
+        F.col("ts") > F.lit("2024-01-20 00:00:00").cast("timestamp_ntz"), F.raise_error(F.lit("cut off"))).otherwise(F.col("value")))
+    try:
+        rn.append_run(broken, path, "second", "ts")
+    except Exception as error:
+        if "cut off" not in str(error):
+            raise
+    rn.append_run(late, path, "second", "ts")
+    rn.append_run(late, path, "second", "ts")
+    return rn.read_runs(spark, path)
+
+
+@query("published_snapshot", "select c_custkey, c_name, c_acctbal, (select count(*) from customer where c_acctbal >= 0) as seen from customer")
+def _(spark, folder):
+    # The second version is made of what readers see while it is being written: the first one.
+    path = scratch_path(spark, "customers")
+    customers = b.table(spark, folder, "customer").select("c_custkey", "c_name", "c_acctbal")
+    cm.publish(customers.where("c_acctbal >= 0"), path)
+    before = cm.read_published(spark, path).agg(F.count(F.lit(1))).scalar()
+    cm.publish(customers.select("*", before.alias("seen")), path)
+    return cm.read_published(spark, path)
+
+
+def _arriving(spark, folder, parts: int) -> tuple[str, list[DataFrame]]:
+    """A folder and the events that come to it one part after the other, by time."""
+    events = _events(spark, folder)
+    at = F.dayofmonth("ts") * parts / 31
+    return scratch_path(spark, "arriving"), [events.where(F.floor(at) == i) for i in range(parts)]
+
+
+@query("stream_delta", """
+with c as (select date_trunc('hour', ts) as period_start, event_type, count(*) as n, round(sum(value), 4) as total
+           from events group by 1, 2)
+select period_start, period_start + interval 1 hour as period_end, event_type, n, total,
+  n - lag(n) over w as delta, round(total - lag(total) over w, 2) as total_delta
+from c where period_start + interval 1 hour <= (select max(ts) - interval 1 hour from events)
+window w as (partition by event_type order by period_start)""")
+def _(spark, folder):
+    # The stream is stopped and started again from its checkpoint after each part.
+    arriving, parts = _arriving(spark, folder, 3)
+    out, state = scratch_path(spark, "deltas"), scratch_path(spark, "deltas-state")
+    for part in parts:
+        part.write.mode("append").parquet(arriving)
+        stream = sf.stream_delta(
+            hs.read_stream(spark, arriving, part.schema), "ts", "1 hour", "1 hour", ["event_type"], "value")
+        with sf.rocksdb_state(spark):
+            running = hs.append_stream(stream, out, state)
+        running.awaitTermination()
+    deltas = _plain_time(spark.read.parquet(out), "period_start", "period_end")
+    return deltas.withColumns({"total": F.round("total", 4), "total_delta": F.round("total_delta", 2)})
+
+
+@query("stream_latest", """
+select * exclude (rn) from (
+  select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events)
+where rn = 1""")
+def _(spark, folder):
+    # The last part comes first; then a batch that has been seen comes again with other rows, which must not count.
+    arriving, parts = _arriving(spark, folder, 3)
+    path, state = scratch_path(spark, "latest"), scratch_path(spark, "latest-state")
+    for part in reversed(parts):
+        part.write.mode("append").parquet(arriving)
+        sf.stream_latest(hs.read_stream(spark, arriving, part.schema), path, state, ["user_id"], "ts", buckets=8).awaitTermination()
+    changed = parts[0].withColumn("ts", F.col("ts") + F.expr("interval 1 year"))
+    sf.upsert_latest(changed, path, ["user_id"], "ts", "stream", 0)
+    return sf.read_latest(spark, path)
