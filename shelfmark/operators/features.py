@@ -5,59 +5,17 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import MinMaxScaler, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.feature import MinMaxScaler, VectorAssembler
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.derive import assign_bucket, rescale_to_int
-from shelfmark.operators.joins import skew_join
+from shelfmark.operators.label_model import LabelCoder
+from shelfmark.operators.labels import index_labels, label_codes, label_tables, with_codes  # noqa: F401
 from shelfmark.operators.project import select_existing
 from shelfmark.sources.staging import stage
 
 
-def in_sorted_order(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
-    """The table with each row's place 0, 1, ... in a total order.
-
-    Numbers any amount of rows without a single-task window: they are sorted across
-    tasks, numbered within each, and shifted by the sizes of the tasks before. The
-    sorted table is staged so that its numbers stay fixed.
-    """
-    placed = df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
-    # The upper bits are the task, the lower 33 the position in it.
-    fixed = stage(placed, "sorted").withColumn("_task", F.shiftright("_id", 33))
-    sizes = fixed.groupBy("_task").agg(F.count(F.lit(1)).alias("_size"))
-    # One row per sort task, so this window stays small.
-    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_task", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    position = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
-    return fixed.join(F.broadcast(starts), "_task").select(
-        *[F.col(f"`{c}`") for c in df.columns], (F.col("_start") + position).alias(out))
-
-
-def label_codes(df: DataFrame, col: str, code: str = "code") -> DataFrame:
-    """Every non-null label with its row count and code 0, 1, ...: frequent labels first, ties by label."""
-    counts = (
-        df.where(F.col(f"`{col}`").isNotNull())
-        .groupBy(F.col(f"`{col}`").alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    )
-    return in_sorted_order(counts, [F.col("n").desc(), F.col("label")], code)
-
-
-def index_labels(
-    df: DataFrame, col: str, out: str, codes: DataFrame | None = None, as_type: str = "bigint",
-    counted: DataFrame | None = None,
-) -> DataFrame:
-    """The table with its labels' codes; null and unknown labels get the code after the last.
-
-    ``counted`` as in ``skew_join``.
-    """
-    codes = codes if codes is not None else label_codes(df if counted is None else counted, col)
-    unknown = codes.agg(F.coalesce(F.max("code") + 1, F.lit(0))).scalar()
-    lookup = codes.select(F.col("label").alias(col), F.col("code").alias("_code"))
-    joined = skew_join(df, lookup, [col], how="left", counted=counted)
-    return joined.select(*[f"`{c}`" for c in df.columns], F.coalesce("_code", unknown).cast(as_type).alias(out))
-
-
 def min_max(df: DataFrame, cols: Mapping[str, str]) -> DataFrame:
     """Columns scaled to 0..1 by their range, under new names; a constant column becomes 0.5."""
     ranges = df.agg(*[
@@ -83,18 +41,20 @@ def fit_features(
 ) -> PipelineModel:
     """Fitted stages: label codes, scaled columns, and all of them as one vector.
 
-    ``labels`` and ``scaled`` map input to output names. The label lists are kept
-    in the model, so use it for categories; number ids with ``index_labels``.
+    ``labels`` and ``scaled`` map input to output names. The model keeps the labels in
+    a table that is saved and loaded with it, however many they are.
     """
-    stages = [StringIndexer(inputCol=c, outputCol=o, handleInvalid="keep") for c, o in labels.items()]
+    stages = []
     for c, o in scaled.items():
         stages += [
             VectorAssembler(inputCols=[c], outputCol=f"_{c}_vec", handleInvalid="keep"),
             MinMaxScaler(inputCol=f"_{c}_vec", outputCol=o),
         ]
+    if labels:
+        stages.append(LabelCoder(inputCols=list(labels), outputCols=list(labels.values())))
     stages.append(VectorAssembler(
         inputCols=[*scaled.values(), *labels.values(), *plain], outputCol=out, handleInvalid="keep"))
-    return Pipeline(stages=stages).fit(df)
+    return Pipeline(stages=stages).fit(stage(select_existing(df, list(dict.fromkeys([*labels, *scaled, *plain]))), "fitted"))
 
 
 def feature_table(
@@ -111,6 +71,5 @@ def feature_table(
     out = min_max(df, {score: "_unit"}).withColumns({
         user: assign_bucket(key, users), interaction: rescale_to_int("_unit"),
     })
-    for c, name in labels.items():
-        out = index_labels(out, c, name, as_type="double", counted=df)
+    out = with_codes(out, labels, label_tables(df, list(labels)), "double")
     return select_existing(out, [*keep, *labels.values(), user, interaction])

@@ -145,3 +145,35 @@ def test_diversity_ignores_unknown_attributes(spark):
     recs = spark.createDataFrame([(1, 1), (1, 2), (1, 9), (2, 1)], "user int, item int")
     meta = spark.createDataFrame([(1, "x"), (2, "y")], "item int, kind string")
     assert rows(ev.diversity(recs, meta, "user", "item", "kind")) == [(1.5,)]
+
+
+def test_label_model_keeps_its_labels_in_a_table(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import StringIndexer
+
+    df = spark.createDataFrame(
+        [("b", 1, "x"), ("a", 1, None), ("b", 2, "y"), (None, 3, "y"), ("c`d", 3, "z")], "l string, m int, o string").repartition(3)
+    labels = {"l": "lc", "m": "mc", "o": "oc"}
+    model = fe.fit_features(df, labels, {"m": "unit"}, ["m"])
+    new = df.unionByName(spark.createDataFrame([("new", 9, "x")], df.schema))
+    indexer = StringIndexer(inputCols=list(labels), outputCols=list(labels.values()), handleInvalid="keep").fit(df)
+    wanted = sorted(rows(indexer.transform(new).select("l", "m", "o", *labels.values())), key=repr)
+    assert sorted(rows(model.transform(new).select("l", "m", "o", *labels.values())), key=repr) == wanted
+    path = str(tmp_path / "model")
+    wr.save_model(model, path)
+    wr.save_model(model, path)
+    again = PipelineModel.load(path)
+    assert sorted(rows(again.transform(new).select("features")), key=repr) == sorted(rows(model.transform(new).select("features")), key=repr)
+    # The labels are in the model's folder as a table, not in its metadata.
+    metadata = "".join(p.read_text() for p in (tmp_path / "model").rglob("metadata/part-*"))
+    assert "c`d" not in metadata and list((tmp_path / "model").rglob("codes/*.parquet"))
+    copied = model.copy()
+    assert copied.transform(new).count() == 6
+
+
+def test_many_labels_are_joined_and_not_collected(spark):
+    df = spark.range(20_000).selectExpr("concat('item ', id) as l", "cast(id as double) as v")
+    model = fe.fit_features(df, {"l": "code"}, {"v": "unit"})
+    out = model.transform(df)
+    assert out.agg({"code": "max"}).first()[0] == 19_999 and out.select("code").distinct().count() == 20_000
+    assert all(len(str(p)) < 5000 for s in model.stages for p in s.extractParamMap().values())
