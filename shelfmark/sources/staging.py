@@ -9,6 +9,8 @@ session's JVM ends.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,9 +36,44 @@ def _session_dir(spark: SparkSession) -> str:
     return folder
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, used by nobody else."""
-    return f"{_session_dir(spark)}/{name}-{uuid.uuid4().hex}"
+# What the open scopes delete when they end, the innermost last.
+_SCOPES: list[list[Callable[[], None]]] = []
+
+
+def at_end(clean_up: Callable[[], None], level: int = -1) -> None:
+    """Have something done when the scope around ends; without a scope nothing is."""
+    if len(_SCOPES) >= -level:
+        _SCOPES[level].append(clean_up)
+
+
+@contextmanager
+def scope() -> Iterator[None]:
+    """Scratch tables written inside are deleted when it ends, also by an error; ``hand_out`` keeps one."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for clean_up in reversed(_SCOPES.pop()):
+            clean_up()
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Commands inside delete the files of their shuffles when they end, not when the driver collects garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def scratch_path(spark: SparkSession, name: str, level: int = -1) -> str:
+    """A new path in the shared folder, used by nobody else; it goes with the scope around."""
+    path = f"{_session_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    at_end(lambda: discard(spark, path), level)
+    return path
 
 
 def discard(spark: SparkSession, path: str) -> None:
@@ -45,17 +82,23 @@ def discard(spark: SparkSession, path: str) -> None:
     path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, level: int = -1) -> DataFrame:
     """Write a table once and go on from the written copy.
 
     Use it where a result is read several times or must not change between
     reads; a lost executor then costs a re-read and not a recomputation.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    path = scratch_path(df.sparkSession, name, level)
+    with freed_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hand_out(df: DataFrame, name: str) -> DataFrame:
+    """Write the result of a scope, to last as long as what is around that scope."""
+    return stage(df, name, level=-2)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Iterative fits cut their lineage only if the context knows a folder."""
     if not spark.sparkContext.getCheckpointDir():

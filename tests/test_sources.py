@@ -110,3 +110,29 @@ def test_scratch_goes_below_the_warehouse_where_no_folder_is_named():
         sparkContext = Context()
 
     assert staging.shared_dir(Session()) == "hdfs://store/warehouse/_scratch"
+
+
+def test_scopes_delete_what_is_written_in_them(spark):
+    from pathlib import Path
+
+    from shelfmark.sources import staging as sg
+
+    def there(df):
+        return Path(df.inputFiles()[0].removeprefix("file://")).exists()
+
+    with sg.scope():
+        outer = sg.stage(spark.range(3), "outer")
+        with sg.scope():
+            inner = sg.stage(outer, "inner")
+            result = sg.hand_out(inner.where("id > 0"), "result")
+            files = inner.inputFiles()
+        assert not Path(files[0].removeprefix("file://")).exists() and there(outer) and result.count() == 2
+    with pytest.raises(ValueError):
+        with sg.scope():
+            lost = sg.stage(spark.range(3), "lost")
+            files = lost.inputFiles()
+            raise ValueError
+    assert not Path(files[0].removeprefix("file://")).exists()
+    assert sg.stage(spark.range(4), "kept").count() == 4
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    assert spark.conf.get(key, None) is None
