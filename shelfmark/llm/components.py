@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.sources.staging import stage
+from shelfmark.sources.staging import hand_out, scope, stage
 
 
 def _same(one: DataFrame, other: DataFrame) -> bool:
@@ -24,16 +24,18 @@ def components(links: DataFrame) -> DataFrame:
     execution can split the rows of a hub.
     """
     edges = stage(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    while True:
-        both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
-            edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        least = stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-        large = stage(both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct(), "large")
-        down = stage(large.groupBy("a").agg(F.min("b").alias("m")), "down")
-        small = large.join(down, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
-            down.select("a", F.col("m").alias("b"))).distinct()
-        after = stage(small, "links")
-        if _same(edges, after):
-            return after.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-                after.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        edges = after
+    while not edges.isEmpty():
+        with scope():
+            both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
+                edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
+            least = stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+            large = stage(both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct(), "large")
+            down = stage(large.groupBy("a").agg(F.min("b").alias("m")), "down")
+            small = large.join(down, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
+                down.select("a", F.col("m").alias("b"))).distinct()
+            after = hand_out(small, "links")
+        same, edges = _same(edges, after), after
+        if same:
+            break
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
+        edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm import exchange
 from shelfmark.llm.parts import PartTable, binary, texts_of, tidy
-from shelfmark.sources.staging import stage
+from shelfmark.sources.staging import hand_out, scope, stage
 
 # An owner gets about this many fingerprints; their number grows with the rows.
 KEYS_PER_OWNER = 1 << 18
@@ -93,17 +93,16 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", texts: str = "text
     result; other columns of ``docs`` do not matter. Of rows that share text and
     doc_id exactly one is kept.
     """
-    table = PartTable(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{texts}`").alias("text")), "exact")
-    out = stage(decide(table).select(
-        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256")), "exact")
-    table.drop()
-    return out
+    with scope():
+        table = PartTable(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{texts}`").alias("text")), "exact")
+        return hand_out(decide(table).select(
+            "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256")), "exact")
 
 
 def drop_exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", texts: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, whole; the texts themselves are not changed."""
-    table = PartTable(docs, "exact")
-    chosen = stage(decide(table, doc_id, texts).where("kept").select("row"), "kept")
-    out = stage(table.keep(chosen), "deduplicated")
-    table.drop()
-    return out
+    with scope():
+        table = PartTable(docs, "exact")
+        with scope():
+            chosen = hand_out(decide(table, doc_id, texts).where("kept").select("row"), "kept")
+        return hand_out(table.keep(chosen), "deduplicated")

@@ -4,13 +4,17 @@ Documents of equal shingle sets are one node. Bands of MinHash samples put simil
 nodes into common buckets; the number of bands follows from the share of similar
 pairs that may be missed. An odd sketch folds the samples of a node into a parity
 bitmap: the exclusive or of two bitmaps has at most two ones per sample in which the
-nodes differ, so its count bounds their similarity, and pairs beyond the bound are
-not looked at. What is left is compared on the full sets.
+nodes differ, so its count bounds their similarity. A second one folds the shingles
+themselves, and its count is never above the number of shingles that only one of two
+nodes has. Pairs beyond either bound are not looked at; what is left, little more than
+the true links, is compared on the full sets.
 
 A bucket does not give all its pairs. Members that have too few shingles in common with
 all other candidates together are out. Then each member meets the bucket's centre, first
 the one that shares most buckets with others, then ones drawn by a hash. Only members
-that are then still in different components meet one another.
+that are then still in different components are held against one another, inside the
+join, by their sketches; pairs that cannot be links never leave it. Sets travel for the
+pairs that pass.
 """
 
 from __future__ import annotations
@@ -28,12 +32,14 @@ from shelfmark.llm.components import components
 from shelfmark.llm.parts import PartTable, binary, spans, text_bytes, texts_of, tidy
 from shelfmark.llm.quality import LOWER
 from shelfmark.llm.words import keys, mix, sums, word_spans
-from shelfmark.sources.staging import stage
+from shelfmark.sources.staging import hand_out, scope, stage
 
 ROWS = 4
 # Rounds of stars with centres drawn anew before what is left is compared in full.
 CENTRES = 2
 SKETCH_BITS = 512
+# Bits of the sketch of the shingles themselves.
+SET_BITS = 1024
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -99,14 +105,21 @@ def odd_sketches(found: np.ndarray) -> np.ndarray:
     return np.packbits(odd.reshape(len(found), SKETCH_BITS), axis=1).view(np.int64)
 
 
+def set_sketch(hashes: np.ndarray) -> np.ndarray:
+    """The parity of the number of shingles at each of SET_BITS places, as 64-bit words."""
+    place = (hashes >> np.uint64(64 - SET_BITS.bit_length() + 1)).astype(np.int64)
+    odd = np.bincount(place, minlength=SET_BITS).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
+
+
 def sketch_limit(similarity: float, count: int) -> int:
     """Ones in the exclusive or that a pair of this similarity stays within, six deviations allowed."""
     differing = count * (1 - similarity) + 6 * math.sqrt(count * similarity * (1 - similarity))
     return 2 * math.ceil(differing)
 
 
-def _differ(a: Column, b: Column) -> Column:
-    ones = [F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(SKETCH_BITS // 64)]
+def _differ(a: Column, b: Column, bits: int) -> Column:
+    ones = [F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(bits // 64)]
     total = ones[0]
     for one in ones[1:]:
         total = total + one
@@ -133,7 +146,8 @@ def _signatures(shingle: int, bands: int):
         return pa.table({
             "row": part.column("row"), "doc_id": part.column("doc_id"),
             "n": pa.array([len(s) for s in sets], pa.int64()), "set_key": binary(keyed),
-            "bands": _lists(key_rows, has, bands), "sketch": _lists(sketch_rows, has, SKETCH_BITS // 64)})
+            "bands": _lists(key_rows, has, bands), "sketch": _lists(sketch_rows, has, SKETCH_BITS // 64),
+            "odd": _lists([set_sketch(sets[i])[None, :] for i in some], has, SET_BITS // 64)})
 
     return sign
 
@@ -210,41 +224,79 @@ class NearDuplicates:
         candidate. One that has fewer in common with all of them together is out, which
         is asked by an exchange of shingle hashes.
         """
-        wanted = stage(nodes.select(F.col("node").alias("row"), F.shiftright("node", 33).cast("int").alias("part")), "wanted")
-        owners = max(1, wanted.count() // 4096)
-        asked = self.table.each_with(["text"], wanted, _send_shingles(self.shingle, owners), exchange.MESSAGE)
-        marks = stage(asked.groupBy("owner").applyInArrow(tidy(exchange.judge), exchange.ANSWER), "marks")
-        told = marks.withColumn("row", F.lit(None).cast("long")).unionByName(
-            wanted.withColumns({"owner": F.lit(None).cast("int"), "marks": F.lit(None).cast("binary")}))
-        return stage(self.table.each_with(
-            ["text"], told, _possible(self.shingle, owners, self.percent), "node long, hashes binary"), "sets")
-
-    def _links(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose full sets are similar enough."""
-        both = (
-            stage(pairs, "pairs").join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b"))
-        return stage(both.select("a", "b", "x", "y").mapInArrow(tidy(_similar(self.percent)), "a long, b long"), "confirmed")
-
-    def _stars(self, members: DataFrame, centres: DataFrame) -> DataFrame:
-        """Each member with the centre of its bucket, where they are in different components and their sketches allow it."""
-        near = _differ(F.col("sketch"), F.col("other")) <= self.limit
-        return members.join(stage(centres, "centres"), "key").where("component <> there").where(near).select(
-            F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+        with scope():
+            wanted = stage(nodes.select(F.col("node").alias("row"), F.shiftright("node", 33).cast("int").alias("part")), "wanted")
+            owners = max(1, wanted.count() // 4096)
+            asked = self.table.each_with(["text"], wanted, _send_shingles(self.shingle, owners), exchange.MESSAGE)
+            marks = stage(asked.groupBy("owner").applyInArrow(tidy(exchange.judge), exchange.ANSWER), "marks")
+            told = marks.withColumn("row", F.lit(None).cast("long")).unionByName(
+                wanted.withColumns({"owner": F.lit(None).cast("int"), "marks": F.lit(None).cast("binary")}))
+            return stage(self.table.each_with(
+                ["text"], told, _possible(self.shingle, owners, self.percent), "node long, hashes binary"), "sets", level=-3)
+
+    def _near(self, a: str, b: str) -> Column:
+        """Whether the marks (n, sketch, odd) of two nodes leave room for a link; it does for all linked pairs but the missed ones."""
+        def of(side: str, field: str) -> Column:
+            return F.col(f"{side}.{field}")
+
+        small, large = F.least(of(a, "n"), of(b, "n")), F.greatest(of(a, "n"), of(b, "n"))
+        # Of two linked sets at most (100 - percent) / (100 + percent) of both sizes together are in one only.
+        apart = _differ(of(a, "odd"), of(b, "odd"), SET_BITS)
+        return (
+            (100 * small >= self.percent * large)
+            & ((100 + self.percent) * apart <= (100 - self.percent) * (of(a, "n") + of(b, "n")))
+            & (_differ(of(a, "sketch"), of(b, "sketch"), SKETCH_BITS) <= self.limit))
+
+    def _links(self, pairs: DataFrame, marks: DataFrame, sets: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose marks leave room for a link and whose full sets are similar enough."""
+        mark = F.struct("n", "sketch", "odd")
+        with scope():
+            near = stage(
+                pairs.join(marks.select(F.col("node").alias("a"), mark.alias("p")), "a")
+                .join(marks.select(F.col("node").alias("b"), mark.alias("q")), "b")
+                .where(self._near("p", "q")).select("a", "b"), "near")
+            both = (
+                near.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a")
+                .join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b"))
+            return hand_out(both.select("a", "b", "x", "y").mapInArrow(
+                tidy(_similar(self.percent)), "a long, b long"), "confirmed")
 
     @staticmethod
-    def _centre(members: DataFrame, order: Column) -> DataFrame:
-        centre = F.struct(F.col("node").alias("centre"), F.col("sketch").alias("other"), F.col("component").alias("there"))
-        return members.groupBy("key").agg(F.max_by(centre, order).alias("c")).select("key", "c.*")
+    def _stars(members: DataFrame, order: Column) -> DataFrame:
+        """Each member with the centre of its bucket, where they are in different components."""
+        centre = F.struct(F.col("node").alias("centre"), F.col("component").alias("there"))
+        with scope():
+            centres = stage(members.groupBy("key").agg(F.max_by(centre, order).alias("c")).select("key", "c.*"), "centres")
+            return hand_out(members.join(centres, "key").where("component <> there").select(
+                F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct(), "pairs")
 
     @staticmethod
     def _open(members: DataFrame, links: DataFrame) -> DataFrame:
         """The members of buckets that lie in several components, with their components."""
-        found = stage(components(links), "components")
-        placed = stage(members.drop("component").join(found, "node", "left").select(
-            "key", "node", "sketch", F.coalesce("component", "node").alias("component")), "placed")
-        several = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-        return stage(placed.join(stage(several.select("key"), "open"), "key"), "members")
+        with scope():
+            found = components(links)
+            placed = stage(members.drop("component").join(found, "node", "left").select(
+                "key", "node", F.coalesce("component", "node").alias("component")), "placed")
+            several = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+            return hand_out(placed.join(stage(several.select("key"), "open"), "key"), "members")
+
+    def _rest(self, members: DataFrame, marks: DataFrame) -> DataFrame:
+        """The pairs of members of one bucket that are in different components and may be links by their marks."""
+        with scope():
+            marked = stage(members.join(marks, "node"), "marked")
+            apart = (F.col("p.node") < F.col("q.node")) & (F.col("p.component") != F.col("q.component"))
+            return hand_out(
+                marked.alias("p").join(marked.alias("q"), F.col("p.key") == F.col("q.key")).where(apart & self._near("p", "q"))
+                .select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct(), "rest")
+
+    def _members(self, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Buckets of several candidates (key, node, component: the node itself), and the candidates' sets."""
+        with scope():
+            keyed = nodes.select("node", F.explode("bands").alias("key"))
+            shared = stage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "buckets")
+            members = stage(keyed.join(shared, "key"), "members")
+            sets = self._candidates(members.select("node").distinct())
+            return hand_out(members.join(sets.select("node"), "node").withColumn("component", F.col("node")), "members"), sets
 
     def classes(self) -> tuple[DataFrame, DataFrame]:
         """Signatures (row, doc_id, n, set_key, ...) and, per set_key, component_id and keep_row.
@@ -255,36 +307,29 @@ class NearDuplicates:
         id_type = self.table.kind("doc_id")
         signed = stage(self.table.each(
             ["doc_id", "text"], _signatures(self.shingle, self.bands),
-            f"row long, doc_id {id_type}, n long, set_key binary, bands array<bigint>, sketch array<bigint>"), "signed")
+            f"row long, doc_id {id_type}, n long, set_key binary, bands array<bigint>, sketch array<bigint>, odd array<bigint>"), "signed")
         some = signed.where(F.col("set_key").isNotNull())
-        # Rows of one set have the same bands and sketch; a task sends one row per set.
+        # Rows of one set have the same bands and sketches; a task sends one row per set.
         nodes = stage(some.groupBy("set_key").agg(
-            F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("best"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-            .select(F.col("best.row").alias("node"), "best", "set_key", "bands", "sketch"), "nodes")
-        keyed = nodes.select("node", F.explode("bands").alias("key"))
-        shared = stage(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "buckets")
-        members = stage(keyed.join(shared, "key"), "members")
-        sets = self._candidates(members.select("node").distinct())
-        sketched = nodes.select("node", "sketch").join(sets.select("node"), "node")
-        members = stage(members.join(sketched, "node").withColumn("component", F.col("node")), "members")
+            F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("best"),
+            *[F.first(c).alias(c) for c in ("n", "bands", "sketch", "odd")])
+            .select(F.col("best.row").alias("node"), "best", "set_key", "n", "bands", "sketch", "odd"), "nodes")
+        marks = nodes.select("node", "n", "sketch", "odd")
+        members, sets = self._members(nodes)
         # First the member with the most company over all its buckets, the likely original of many copies.
-        sizes = stage(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "sizes")
-        company = stage(members.join(sizes, "key").groupBy("node").agg(F.sum("n").alias("company")), "company")
-        centres = self._centre(members.join(company, "node"), F.struct("company", -F.col("node")))
-        links = self._links(self._stars(members, centres), sets)
+        with scope():
+            sizes = stage(members.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "sizes")
+            company = stage(members.join(sizes, "key").groupBy("node").agg(F.sum("size").alias("company")), "company")
+            pairs = self._stars(members.join(company, "node"), F.struct("company", -F.col("node")))
+            links = hand_out(self._links(pairs, marks, sets), "links")
         members = self._open(members, links)
         # Then, where a bucket is still in pieces, other centres: each bucket has its own, so a member meets many.
         for turn in range(CENTRES):
-            centres = self._centre(members, F.struct(F.xxhash64("key", "node", F.lit(turn)), -F.col("node")))
-            links = stage(links.unionByName(self._links(self._stars(members, centres), sets)), "links")
+            pairs = self._stars(members, F.struct(F.xxhash64("key", "node", F.lit(turn)), -F.col("node")))
+            links = stage(links.unionByName(self._links(pairs, marks, sets)), "links")
             members = self._open(members, links)
-        # What is then in different components of a bucket is compared in full.
-        other = members.select("key", F.col("node").alias("b"), F.col("sketch").alias("other"), F.col("component").alias("there"))
-        near = _differ(F.col("sketch"), F.col("other")) <= self.limit
-        rest = members.join(other, "key").where("node < b and component <> there").where(near).select(
-            F.col("node").alias("a"), "b").distinct()
-        links = links.unionByName(self._links(rest, sets))
-        found = components(links)
+        rest = self._rest(members, marks)
+        found = components(links.unionByName(self._links(rest, marks, sets)))
         by_node = nodes.select("node", "best", "set_key").join(found, "node", "left").select(
             "set_key", "best", F.coalesce("component", "node").alias("component"))
         by_node = stage(by_node, "placed")
@@ -300,26 +345,25 @@ def near_duplicates(
 
     Rows are linked when their sets of ``shingle``-word shingles share at least
     ``percent`` of 100; ``misses`` bounds the share of pairs just that similar that are
-    not found. Null, empty and wordless texts have no shingle and no link. Equal sets
-    are always linked. A row without doc_id names a component only if all its rows are
-    such. An empty table gives an empty result.
+    not found. Null, empty and wordless texts have no shingle and no link; texts of any
+    length are whole. Equal sets are always linked. A row without doc_id names a
+    component only if all its rows are such. An empty table gives an empty result.
     """
-    table = PartTable(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{texts}`").alias("text")), "near")
-    signed, classes = NearDuplicates(table, shingle, percent, misses).classes()
-    out = stage(signed.select("row", "doc_id", "n", "set_key").join(classes, "set_key", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), "near")
-    table.drop()
-    return out
+    with scope():
+        table = PartTable(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{texts}`").alias("text")), "near")
+        signed, classes = NearDuplicates(table, shingle, percent, misses).classes()
+        return hand_out(signed.select("row", "doc_id", "n", "set_key").join(classes, "set_key", "left").select(
+            "doc_id", F.col("n").alias("n_shingles"),
+            F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), "near")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, misses: float = 1e-8) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, any others) that stay, whole: of each class the one of the smallest doc_id."""
-    table = PartTable(docs, "near")
-    signed, classes = NearDuplicates(table, shingle, percent, misses).classes()
-    chosen = stage(signed.select("row", "set_key").join(classes, "set_key", "left").where(
-        F.col("keep_row").isNull() | (F.col("keep_row") == F.col("row"))).select("row"), "kept")
-    out = stage(table.keep(chosen), "deduplicated")
-    table.drop()
-    return out
+    with scope():
+        table = PartTable(docs, "near")
+        with scope():
+            signed, classes = NearDuplicates(table, shingle, percent, misses).classes()
+            chosen = hand_out(signed.select("row", "set_key").join(classes, "set_key", "left").where(
+                F.col("keep_row").isNull() | (F.col("keep_row") == F.col("row"))).select("row"), "kept")
+        return hand_out(table.keep(chosen), "deduplicated")

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from shelfmark.llm.bpe import codec
 from shelfmark.llm.parts import small_batches, spans, texts_of, tidy
 from shelfmark.llm.words import ragged
-from shelfmark.sources.staging import scratch_path
+from shelfmark.sources.staging import scratch_path, stage
 
 # Shares are held in millionths (a power of two of them), so that all of this fits 64 bits.
 SHARE_BITS = 20
@@ -181,9 +181,10 @@ def pack(
     queue = F.element_at(numbers, F.col("source")) if named else F.lit(None).cast("int")
     # One row per source and part.
     by_source = Window.partitionBy("source")
-    starts = loads.select(
+    # Written, so that its size is known when the tokens are joined with it and need not be shuffled for it.
+    starts = stage(loads.select(
         "part", "source", queue.alias("queue"), F.sum("n").over(by_source).alias("total"),
-        (F.sum("n").over(by_source.orderBy("part")) - F.col("n")).alias("start"))
+        (F.sum("n").over(by_source.orderBy("part")) - F.col("n")).alias("start")), "starts")
     width = _width(path)
     fields = "doc_id {}, source string, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from shelfmark.sources.staging import at_end, scratch_path
 
 BATCH_BYTES = "8m"
 
@@ -74,16 +75,19 @@ class PartTable:
         self.columns = df.columns
         self.kinds = [f.dataType for f in df.schema.fields]
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        # In the shared folder, and no longer there when the scope around ends, however it does.
+        path = scratch_path(self.spark, name)
+        at_end(self.drop)
         (
             df.toDF(*[f"c{i}" for i in range(len(self.columns))])
             .withColumn("row", F.monotonically_increasing_id())
             .withColumn("part", F.shiftright("row", 33).cast("int"))
-            .write.option("compression", "zstd").bucketBy(buckets, "part").saveAsTable(self.name)
+            .write.option("compression", "zstd").option("path", path).bucketBy(buckets, "part").saveAsTable(self.name)
         )
         self.rows = self.spark.table(self.name)
 
     def drop(self) -> None:
-        """Delete the copy, once the results that read it are written."""
+        """Take the copy out of the catalogue; its files go with the scope it was made in."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
     def kind(self, column: str) -> str:

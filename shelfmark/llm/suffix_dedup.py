@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from shelfmark.llm import cover, exchange
 from shelfmark.llm.parts import PartTable, binary, spans, text_bytes, texts_of, tidy
 from shelfmark.llm.words import mix
-from shelfmark.sources.staging import stage
+from shelfmark.sources.staging import hand_out, scope, stage
 
 LENGTH = 50
 GRAM = 16
@@ -288,11 +288,11 @@ def suffix_duplicates(docs: DataFrame, doc_id: str = "doc_id", texts: str = "tex
     judged on the texts as they came. Null and empty texts have no bytes; rows of one
     doc_id do not count against each other; an empty table gives an empty result.
     """
-    table = PartTable(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{texts}`").alias("text")), "suffix")
-    cut = stage(remove_repeats(table), "cut")
-    out = stage(table.pick(["doc_id"]).select("row", "doc_id").join(cut, "row").drop("row"), "suffix")
-    table.drop()
-    return out
+    with scope():
+        table = PartTable(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{texts}`").alias("text")), "suffix")
+        with scope():
+            cut = hand_out(remove_repeats(table), "cut")
+        return hand_out(table.pick(["doc_id"]).select("row", "doc_id").join(cut, "row").drop("row"), "suffix")
 
 
 def drop_repeats(docs: DataFrame) -> DataFrame:
@@ -300,19 +300,19 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
 
     Where there is a column n_chars, it is set anew. Documents keep their rows, also with nothing left.
     """
-    table = PartTable(docs, "suffix")
-    cut = stage(remove_repeats(table).where("n_removed > 0").select("row", "kept"), "cut")
-    place = f"c{table.columns.index('text')}"
-
-    def put(part: pa.Table, changed: pa.Table) -> pa.Table:
-        new = dict(zip(changed.column("row").to_pylist(), changed.column("kept").to_pylist(), strict=True))
-        texts = [new[r].decode("utf-8", "ignore") if r in new else t
-                 for r, t in zip(part.column("row").to_pylist(), part.column(place).to_pylist(), strict=True)]
-        return part.set_column(part.schema.get_field_index(place), place, pa.array(texts, pa.string()))
-
-    out = table.rewrite(cut.withColumn("part", F.shiftright("row", 33).cast("int")), put)
-    if "n_chars" in table.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(table.kind("n_chars")))
-    out = stage(out, "cut")
-    table.drop()
-    return out
+    with scope():
+        table = PartTable(docs, "suffix")
+        with scope():
+            cut = hand_out(remove_repeats(table).where("n_removed > 0").select("row", "kept"), "cut")
+        place = f"c{table.columns.index('text')}"
+
+        def put(part: pa.Table, changed: pa.Table) -> pa.Table:
+            new = dict(zip(changed.column("row").to_pylist(), changed.column("kept").to_pylist(), strict=True))
+            texts = [new[r].decode("utf-8", "ignore") if r in new else t
+                     for r, t in zip(part.column("row").to_pylist(), part.column(place).to_pylist(), strict=True)]
+            return part.set_column(part.schema.get_field_index(place), place, pa.array(texts, pa.string()))
+
+        out = table.rewrite(cut.withColumn("part", F.shiftright("row", 33).cast("int")), put)
+        if "n_chars" in table.columns:
+            out = out.withColumn("n_chars", F.char_length("text").cast(table.kind("n_chars")))
+        return hand_out(out, "cut")
