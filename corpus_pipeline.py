@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import exact_dedup, minhash, packing, quality, suffix_dedup
-from shelfmark.sources.staging import stage
+from shelfmark.sources.staging import discard, freed_shuffles, scope, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -59,8 +59,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the folder's documents."""
+    """All stages over the folder's documents; what a stage wrote on its way, and its input, go when its result is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        with scope():
+            kept = step(spark, docs, sf_dir)
+            with freed_shuffles(spark):
+                kept.write.option("compression", "zstd").parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if before is not None:
+            discard(spark, before)
+        before = path
     return docs
