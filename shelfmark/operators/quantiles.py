@@ -44,16 +44,6 @@ def _code(value: Column) -> Column:
     return F.coalesce(F.floor(size * F.lit(_STEPS)), F.lit(0))
 
 
-def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """Distinct non-null, non-NaN values per group with their row counts."""
-    return (
-        df.select(*by, F.col(value).cast("double").alias("_v"))
-        .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-        .groupBy(*by, "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-
-
 def _running(keys: Sequence[str], order: str) -> Column:
     window = Window.partitionBy(*keys).orderBy(order)
     return F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -101,6 +101,15 @@ def enrich(
     return out.orderBy(*order) if order else out
 
 
+def enrich_bucketed(recs: DataFrame, metadata: DataFrame, item: str, cols: Sequence[str]) -> DataFrame:
+    """``enrich`` for tables that both lie in as many buckets by ``item`` (``write_bucketed``): no row is moved.
+
+    A bucket is a task, so ``enrich`` is the one to use where one item holds a large
+    part of all recommendations.
+    """
+    return recs.join(metadata.hint("merge"), item, "left").select(*cols)
+
+
 def recommendations_table(
     model: ALSModel, metadata: DataFrame, cols: Sequence[str], n: int = 10,
 ) -> DataFrame:

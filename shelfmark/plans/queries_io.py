@@ -17,6 +17,7 @@ from shelfmark.sources import writers as wr
 from shelfmark.sources.staging import scratch_path
 from shelfmark.streaming import history as hs
 from shelfmark.streaming import runs as rn
+from shelfmark.streaming import sketches as sk
 from shelfmark.streaming import stateful as sf
 
 _CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
@@ -273,3 +274,31 @@ def _(spark, folder):
     changed = parts[0].withColumn("ts", F.col("ts") + F.expr("interval 1 year"))
     sf.upsert_latest(changed, path, ["user_id"], "ts", "stream", 0)
     return sf.read_latest(spark, path)
+
+
+_RANGES = [("2024-01-01", "2024-01-07"), ("2024-01-10", "2024-01-10"), ("2024-01-05", "2024-01-30")]
+
+
+@query("distinct_over_days", "select * from (" + " union all ".join(
+    f"select '{since}' as since, '{until}' as until, event_type, count(distinct user_id) as exact, true as close from events "
+    f"where ts::date between date '{since}' and date '{until}' group by event_type" for since, until in _RANGES) + ")")
+def _(spark, folder):
+    # Days are added one by one, each as a run of its own; an estimate is close within four standard errors.
+    path = scratch_path(spark, "sketches")
+    events = _events(spark, folder).select("ts", "event_type", "user_id")
+    for day in range(1, 31):
+        own = events.where(F.to_date("ts") == F.lit(f"2024-01-{day:02d}").cast("date"))
+        sk.append_sketches(own, path, f"day {day:02d}", "ts", ["user_id"], ["event_type"])
+    parts = []
+    for since, until in _RANGES:
+        estimated = sk.distinct_between(spark, path, {"user_id": "estimate"}, ["event_type"], since, until)
+        day = F.to_date("ts").cast("string")
+        exact = events.where((day >= since) & (day <= until)).groupBy("event_type").agg(F.countDistinct("user_id").alias("exact"))
+        # One row per type of event on both sides.
+        parts.append(exact.join(F.broadcast(estimated), "event_type", "full").select(
+            F.lit(since).alias("since"), F.lit(until).alias("until"), "event_type", "exact",
+            (F.abs(F.col("estimate") - F.col("exact")) <= 4 * 1.04 / 2 ** (sk.LOG_K / 2) * F.col("exact") + 0.5).alias("close")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

@@ -15,6 +15,7 @@ from shelfmark.operators.best_items import best_items
 from shelfmark.plans import bindings as b
 from shelfmark.plans.oracle_tables import BASELINE_RECS, BIAS, ENTITY, INTERACTIONS, SPLIT, on
 from shelfmark.plans.registry import ORACLES, query
+from shelfmark.sources.bucketed import write_bucketed
 from shelfmark.sources.readers import load_als, load_features
 from shelfmark.sources.staging import scratch_path, stage
 from shelfmark.sources.writers import save_model
@@ -343,3 +344,16 @@ def _(spark, folder):
     wrong = best.join(users, "user_id").join(items, "item_id").agg(
         F.count_if(F.abs(product - F.col("predicted_score")) > 1e-3).alias("n"))
     return apart.unionByName(wrong).agg(F.sum("n").alias("differing"))
+
+
+@query("enrich_bucketed", on(_ENRICHED, "select * from enriched"))
+def _(spark, folder):
+    # Both tables lie in buckets by item, so the join moves no row.
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def placed(df, name):
+        path = scratch_path(spark, name)
+        return write_bucketed(df, path.rpartition("/")[2].replace("-", "_"), "item_id", buckets, path)
+
+    recs, details = placed(b.baseline_recs(spark, folder), "recs"), placed(b.parts_metadata(spark, folder), "details")
+    return rc.enrich_bucketed(recs, details, "item_id", ["user_id", "item_id", "rank", "name", "category", "brand"])

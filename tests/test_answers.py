@@ -117,6 +117,28 @@ def test_density_like_the_formula(spark):
         assert d == pytest.approx(np.exp(-0.5 * ((grid - data) / bw) ** 2).sum() / (5 * bw * math.sqrt(2 * math.pi)))
 
 
+def test_density_of_far_values_and_of_one_value(spark):
+    # Between two far groups lie grid points that no value reaches.
+    data = np.concatenate([np.arange(300) / 300, 1000 + np.arange(300) / 300])
+    df = spark.createDataFrame([(float(x),) for x in data] + [(None,), (math.nan,)], "v double").repartition(4)
+    got = {r[0]: r[1:] for r in rows(ch.density(df, "v", 500))}
+    bw = len(data) ** -0.2 * data.std(ddof=1)
+    for p, grid in enumerate(np.linspace(data.min(), data.max(), 500)):
+        wanted = np.exp(-0.5 * ((grid - data) / bw) ** 2).sum() / (len(data) * bw * math.sqrt(2 * math.pi))
+        assert got[p] == (pytest.approx(grid), pytest.approx(wanted, abs=1e-15))
+    same = spark.createDataFrame([(2.0,)] * 3, "v double")
+    assert {r[2] for r in rows(ch.density(same, "v", 5))} == {None}
+    assert rows(ch.density(df.where("v > 1e9"), "v", 5)) == []
+
+
+def test_density_of_many_rows_touches_few_points(spark, monkeypatch):
+    monkeypatch.setattr(ch, "KERNEL_REACH", 3.0)
+    df = spark.range(20_000).selectExpr("cast(id as double) as v")
+    plan = ch.density(df, "v", 200)._jdf.queryExecution().executedPlan().toString()
+    assert "sequence" in plan.lower()
+    assert ch.density(df, "v", 200).count() == 200
+
+
 def test_ordered_counts_and_marks(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("other",)], "k string")
     assert rows(ch.ordered_counts(df, F.col("k"), ["b", "zzz", "a"])) == [(1, "b", 2), (3, "a", 1)]
