@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from shelfmark.sources.staging import stage
 
 RATIO = 0.1
-MIN_PAGES = 3
+# The least at which a line repeats at all: on a host of one page nothing is boilerplate.
+MIN_PAGES = 2
 BLOCKS = "p|div|li|ul|ol|h[1-6]|br|hr|tr|td|th|table|title|head|body|html|article|section|nav|header|footer|main|aside|pre|blockquote|form|option"
 
 
