@@ -12,6 +12,7 @@ from operator import itemgetter
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from shelfmark.llm.templates import compile_template
 
@@ -70,7 +71,8 @@ def format_chats(rows: DataFrame, template: str = TEMPLATE, chunk: int = CHUNK)
 
     Rows are taken by turn, ties by role and text; null texts are empty, a null role is
     the empty role, null turns come first, and rows without conv_id are one
-    conversation. Repeated rows are turns of their own; an empty table gives no row.
+    conversation; a conv_id may be a number of any kind, a text or a date. Repeated
+    rows are turns of their own; an empty table gives no row.
     Other columns do not matter.
 
     ``spans`` are the code points [begin, end) of the conversation that lie under
@@ -118,7 +120,7 @@ def format_chats(rows: DataFrame, template: str = TEMPLATE, chunk: int = CHUNK)
         if held:
             yield _batch(held)
 
-    id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    id_type = to_arrow_type(rows.schema["conv_id"].dataType)
 
     def _batch(held):
         span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
@@ -157,7 +159,7 @@ def read_back(chats: DataFrame) -> DataFrame:
             kinds = [id_type, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
             yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
-    id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    id_type = to_arrow_type(chats.schema["conv_id"].dataType)
     return chats.mapInArrow(
         run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 

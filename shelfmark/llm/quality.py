@@ -151,10 +151,12 @@ def _scored(docs: DataFrame, weights: np.ndarray, add, kinds: list[StructField])
 
 
 def score(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """``docs`` (doc_id, text, any others) with score and predicted (1 from 0.5 on) behind its columns.
+    """``docs`` (doc_id, text, any others) with score and predicted (1 from 0.5 on) behind its columns; columns of these names are replaced.
 
-    Null texts are scored as empty ones; repeated rows are scored each.
+    Null texts are scored as empty ones, texts of any length whole; repeated rows are
+    scored each; an empty table gives an empty one.
     """
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("score", "predicted")])
     def add(batch, p):
         return batch.append_column("score", pa.array(p)).append_column("predicted", pa.array((p >= 0.5).astype(np.int32)))
 

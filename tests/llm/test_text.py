@@ -304,12 +304,57 @@ def test_quality(spark, folder):
 def test_quality_of_odd_rows(odd_docs, no_docs, spark):
     labels = spark.createDataFrame([(6, 1), (11, 0), (11, 0), (11, 1), (None, 1), (99, 0), (4, None)], "doc_id long, quality int")
     weights = quality.fit(odd_docs, labels)
-    rows = quality.score(odd_docs, weights).drop("score").toDF(*[f"k{i}" for i in range(len(odd_docs.columns))]).collect()
-    assert len(rows) == odd_docs.count()
+    scored = quality.score(odd_docs, weights)
+    assert scored.columns == [*[c for c in odd_docs.columns if c != "score"], "score", "predicted"]
+    assert scored.select("score").where("score between 0 and 1").count() == odd_docs.count()
     assert quality.keep_good(odd_docs, weights).columns == odd_docs.columns
     assert quality.score(no_docs, quality.fit(odd_docs, labels.limit(0))).count() == 0
 
 
+def plain_ftrl(texts, labels, alpha=0.3, beta=1.0, l1=0.02, l2=0.2, epochs=3):
+    """Follow the regularised leader one weight at a time."""
+    z, n, rows, bias = Counter(), Counter(), [], 1 << quality.BITS
+    for text in texts:
+        index, at = quality.features(pa.array([text]))
+        counts = Counter(index.tolist())
+        rows.append({**{i: c / max(1, len(index)) ** 0.5 for i, c in counts.items()}, bias: 1.0})
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return ((l1 if z[i] > 0 else -l1) - z[i]) / ((beta + n[i] ** 0.5) / alpha + l2)
+
+    for _ in range(epochs):
+        for row, label in zip(rows, labels, strict=True):
+            w = {i: weight(i) for i in row}
+            p = 1 / (1 + np.exp(-sum(w[i] * x for i, x in row.items())))
+            for i, x in row.items():
+                g = (p - label) * x
+                z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / alpha * w[i]
+                n[i] += g * g
+    return {i: weight(i) for i in z}, rows
+
+
+def test_training_and_scores_as_a_plain_loop():
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice(["good", "Bad!", "x1", "word", "été,", "WORD"]) for _ in range(rng.randrange(30))) for _ in range(60)]
+    labels = np.array([rng.randrange(2) for _ in texts])
+    weights, rows = plain_ftrl(texts, labels)
+    found = quality.train(pa.array(texts), labels)
+    assert {i: found[i] for i in np.flatnonzero(found)} == pytest.approx({i: w for i, w in weights.items() if w}, rel=1e-9)
+    wanted = [1 / (1 + np.exp(-sum(weights[i] * x for i, x in row.items()))) for row in rows]
+    assert quality.scores(pa.array(texts), found) == pytest.approx(wanted, rel=1e-9)
+
+
+@pytest.mark.parametrize("kind", ["smallint", "decimal(5,1)", "date", "string"])
+def test_chats_of_ids_of_any_kind(spark, kind):
+    value = "date'2024-01-01'" if kind == "date" else "7"
+    rows = spark.range(2).selectExpr(f"cast({value} as {kind}) as conv_id", "id as turn", "if(id = 0, 'user', 'assistant') as role", "concat('t', id) as text")
+    got = chat.chat_digests(rows)
+    assert got.schema["conv_id"].dataType.simpleString() == kind
+    assert [(r.n_turns, r.loss_chars) for r in got.collect()] == [(2, 2)]
+
+
 def plain_top(rows, k):
     v = {i: [int(np.floor(256 * float(x))) for x in e] for i, e in rows if e and all(x is not None and np.isfinite(x) for x in e)}
     out = []
@@ -356,6 +401,13 @@ def test_site_lines(spark):
     assert all(r.lines == [str(r.page_id)] and r.n_dropped == 2 for r in some)
 
 
+def test_hosts_of_one_and_two_pages(spark):
+    rows = [(1, "https://two.org/a", "<p>foot</p><p>one</p>"), (2, "https://two.org/b", "<p>foot</p><p>two</p>"), (3, "https://one.org", "<p>foot</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = drop_boilerplate(pages, host_of(F.col("url")), lines_of(F.col("html"))).collect()
+    assert {r.page_id: r.lines for r in out} == {1: ["one"], 2: ["two"], 3: ["foot"]}
+
+
 def test_spans_cover_all():
     texts = pa.array(["a" * 10, "", "b" * 100, "c"])
     assert spans(texts, 12) == [(0, 2), (2, 3), (3, 4)] and spans(texts.slice(0, 0)) == []
