@@ -148,12 +148,41 @@ def op5(spark, folder):
     return out.select("page_id", "host", "n_lines", "n_dropped", F.array_join("lines", "\n").alias("text"))
 
 
-@query("op4_odd_sketch_near_dedup")
+@query("op4_odd_sketch_near_dedup", r"""
+with recursive d as (
+  select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+g as (
+  select distinct r, array_to_string(w[i:i + 2], ' ') as g from (select r, w, unnest(range(1, greatest(len(w) - 1, 2))) as i from d where len(w) > 0)),
+n as (select r, count(*) as n from g group by r),
+p as (
+  select x.r as a, y.r as b, count(*) as common from g as x join g as y on x.g = y.g and x.r <> y.r group by x.r, y.r),
+l as (
+  select p.a, p.b from p join n as x on x.r = p.a join n as y on y.r = p.b where 100 * common >= 85 * (x.n + y.n - common)),
+t as (select a, b from l union select t.a, l.b from t join l on l.a = t.b)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, least(d.doc_id, coalesce(min(o.doc_id), d.doc_id)) as component_id,
+  d.doc_id <= coalesce(min(o.doc_id), d.doc_id) as kept
+from d left join n using (r) left join t on t.a = d.r left join d as o on o.r = t.b group by d.r, d.doc_id, n.n""")
 def op4(spark, folder):
     return near_duplicates(table(spark, folder, "documents"), shingle=3, percent=85)
 
 
-@query("op8_suffix_dedup")
+@query("op8_suffix_dedup", r"""
+with d as (select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+k as (select r, doc_id, unnest(range(0, greatest(1, (length(h) // 2 + 1023) // 1024))) as k, h from d),
+b as (select r, doc_id, k, substr(h, 2048 * k + 1, 2146) as h from k),
+p as (select r, doc_id, 1024 * k + j as i, substr(h, 2 * j + 1, 2) as x, substr(h, 2 * j + 1, 100) as g
+      from (select *, unnest(range(0, least(1024, length(h) // 2))) as j from b)),
+m as (select g, min(doc_id) as first from p where length(g) = 100 group by g),
+c as (select p.*, length(p.g) = 100 and p.doc_id > m.first as hit from p left join m using (g)),
+n as (select r, i, x, bool_or(coalesce(hit, false)) over (partition by r order by i rows between 49 preceding and current row) as gone from c),
+e as (select *, gone and not coalesce(lag(gone) over (partition by r order by i), false) as begins from n),
+s as (
+  select r, count(*) as n_bytes, count(*) filter (gone) as n_removed, count(*) filter (begins) as n_spans,
+    coalesce(string_agg(x, '' order by i) filter (not gone), '') as left_over from e group by r)
+select d.doc_id, coalesce(n_bytes, 0) as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+  sha256(unhex(coalesce(left_over, ''))) as kept_sha256
+from d left join s using (r)""")
 def op8(spark, folder):
     return suffix_duplicates(table(spark, folder, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
