@@ -1,12 +1,14 @@
 """The stages of the corpus pipeline, each against its plain definition on its own input."""
 
+from pathlib import Path
+
 import corpus_pipeline
 import numpy as np
 import pytest
-from plain import shingled
+from plain import TEXTS, no_docs, odd_docs, shingled  # noqa: F401
 from pyspark.sql import functions as F
 
-from shelfmark.sources.staging import stage
+from shelfmark.sources.staging import scratch_path, stage
 
 
 @pytest.fixture(scope="module")
@@ -37,16 +39,15 @@ def test_quality(spark, folder, steps):
     assert np.mean([d in kept for d in before if labels.get(d) == 1]) >= 0.99
 
 
-def test_exact(steps):
+def plain_exact(before):
     last = {}
-    for d, t in texts(steps["quality"]).items():
+    for d, t in before:
         t = (t or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
-        last[t] = max(last.get(t, d), d)
-    assert set(texts(steps["exact_dedup"])) == set(last.values())
+        last[t] = max(last.get(t, d), d, key=lambda x: -1 if x is None else x)
+    return set(last.values())
 
 
-def test_near(steps):
-    before, kept = texts(steps["exact_dedup"]), texts(steps["near_dedup"])
+def plain_near(before):
     sets = {d: shingled(t, 5) for d, t in before.items()}
     by_shingle = {}
     for d, s in sets.items():
@@ -62,7 +63,15 @@ def test_near(steps):
                 e = group.pop()
                 seen.add(e)
                 group |= near[e] - seen
-    assert set(kept) == wanted
+    return wanted
+
+
+def test_exact(steps):
+    assert set(texts(steps["exact_dedup"])) == plain_exact(texts(steps["quality"]).items())
+
+
+def test_near(steps):
+    assert set(texts(steps["near_dedup"])) == plain_near(texts(steps["exact_dedup"]))
 
 
 def test_passages(steps):
@@ -91,3 +100,29 @@ def test_packing(steps):
 
 def test_run_gives_the_stages_rows(spark, folder, steps):
     assert sorted(corpus_pipeline.run(spark, folder).collect()) == sorted(steps["packing"].collect())
+
+
+def scratch(spark):
+    folder = Path(scratch_path(spark, "x")).parent
+    return {p.name for p in folder.iterdir()} if folder.exists() else set()
+
+
+def test_run_over_odd_rows_leaves_nothing_behind(spark, odd_docs, tmp_path):
+    docs = odd_docs.withColumns({"lang": F.lit(None).cast("string"), "source": F.when(F.col("doc_id") > 9, "web"), "predicted": F.lit(1)})
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    # Without labels every document scores one half and stays.
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    before, tables = scratch(spark), {t.name for t in spark.catalog.listTables()}
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    alone = plain_exact((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect())
+    left = {d: TEXTS[d] for d in alone}
+    assert {p.doc_id for p in pieces} == plain_near(left)
+    assert sum(p.length for p in pieces if p.doc_id == 2) == 1  # an empty text is its end id
+    assert [n.split("-")[0] for n in scratch(spark) - before] == ["packing"]
+    assert {t.name for t in spark.catalog.listTables()} == tables
+
+
+def test_run_over_no_rows(spark, no_docs, tmp_path):
+    no_docs.withColumns({"lang": F.lit("en"), "source": F.lit("web")}).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
