@@ -105,4 +105,4 @@ def drop_exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", texts: str =
         table = PartTable(docs, "exact")
         with scope():
             chosen = hand_out(decide(table, doc_id, texts).where("kept").select("row"), "kept")
-        return hand_out(table.keep(chosen), "deduplicated")
+        return hand_out(table.keep(chosen), "deduplicated", "zstd")

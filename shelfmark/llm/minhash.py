@@ -366,4 +366,4 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, m
             signed, classes = NearDuplicates(table, shingle, percent, misses).classes()
             chosen = hand_out(signed.select("row", "set_key").join(classes, "set_key", "left").where(
                 F.col("keep_row").isNull() | (F.col("keep_row") == F.col("row"))).select("row"), "kept")
-        return hand_out(table.keep(chosen), "deduplicated")
+        return hand_out(table.keep(chosen), "deduplicated", "zstd")

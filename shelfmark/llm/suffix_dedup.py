@@ -315,4 +315,4 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
         out = table.rewrite(cut.withColumn("part", F.shiftright("row", 33).cast("int")), put)
         if "n_chars" in table.columns:
             out = out.withColumn("n_chars", F.char_length("text").cast(table.kind("n_chars")))
-        return hand_out(out, "cut")
+        return hand_out(out, "cut", "zstd")
