@@ -82,20 +82,20 @@ def discard(spark: SparkSession, path: str) -> None:
     path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
-def stage(df: DataFrame, name: str, level: int = -1, codec: str = "snappy") -> DataFrame:
+def stage(df: DataFrame, name: str, level: int = -1, codec: str | None = None) -> DataFrame:
     """Write a table once and go on from the written copy.
 
     Use it where a result is read several times or must not change between
     reads; a lost executor then costs a re-read and not a recomputation.
-    Texts are worth the ``codec`` zstd.
+    Texts are worth the ``codec`` zstd; without one it is the session's.
     """
     path = scratch_path(df.sparkSession, name, level)
     with freed_shuffles(df.sparkSession):
-        df.write.option("compression", codec).parquet(path)
+        df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def hand_out(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
+def hand_out(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write the result of a scope, to last as long as what is around that scope."""
     return stage(df, name, -2, codec)
 
