@@ -1,4 +1,6 @@
+import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfmark.operators import evaluate as ev
@@ -86,6 +88,24 @@ def test_recommender_run(spark, folder, tmp_path):
     assert back["als_params"]["rank"] == 10 and back["rmse"] == m["rmse"]
 
 
+def test_lists_are_sparks_own_and_no_pairs_are_joined(spark):
+    rng = np.random.default_rng(5)
+    train = [(int(u), int(i), float(rng.integers(1, 6))) for u in range(40) for i in rng.choice(90, 12, replace=False)]
+    model = rc.train_als(spark.createDataFrame(train, "user int, item int, score double"), "user", "item", "score")
+    own = model.recommendForAllUsers(7).select("user", F.posexplode("recommendations").alias("at", "r"))
+    wanted = {(r.user, r.at): r.score for r in own.select("user", "at", F.col("r.rating").alias("score")).collect()}
+    for every in (False, True):
+        lists = rc.recommend_all(model, 7, every=every)
+        text = lists._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+        places = Window.partitionBy("user").orderBy(F.desc("predicted_score"), "item")
+        placed = lists.select("user", (F.row_number().over(places) - 1).alias("at"), "predicted_score")
+        found = {(r.user, r.at): r.predicted_score for r in placed.collect()}
+        assert found.keys() == wanted.keys() and all(abs(found[k] - wanted[k]) < 2e-4 for k in wanted)
+    some = spark.createDataFrame([(3,), (3,), (2**40,)], "user long")
+    assert sorted(rows(rc.recommend_for(model, some, 7))) == sorted(rows(rc.recommend_all(model, 7).where("user = 3")))
+
+
 @pytest.mark.parametrize("left", [0, 1, 2])
 def test_a_lost_list_shows_in_the_subset_check(spark, folder, monkeypatch, left):
     made = rc.recommend_for
