@@ -127,9 +127,14 @@ def baseline_recs(spark: SparkSession, folder: str, pairs: DataFrame | None = No
         skew_join(pairs, users, ["item_id"]), ["user_id"], [F.col("users").desc(), F.col("item_id")], 10)
 
 
-def bias_predictions(spark: SparkSession, folder: str) -> DataFrame:
+def flagged(spark: SparkSession, folder: str) -> DataFrame:
+    """The interactions with whether they train, written."""
+    return stage(interactions(spark, folder).withColumn("_train", in_training(["user_id", "item_id"])), "interactions")
+
+
+def bias_predictions(spark: SparkSession, folder: str, rows: DataFrame | None = None) -> DataFrame:
     """Test pairs predicted as user mean + item mean - overall mean of the training pairs."""
-    rows = stage(interactions(spark, folder), "interactions").withColumn("_train", in_training(["user_id", "item_id"]))
+    rows = flagged(spark, folder) if rows is None else rows
     train, test = rows.where("_train"), rows.where("not _train").drop("_train")
     users = train.groupBy("user_id").agg(F.avg("score").alias("_u"))
     items = train.groupBy("item_id").agg(F.avg("score").alias("_i"))

@@ -285,10 +285,12 @@ def _(spark, folder):
 select rmse, mae, coverage_percent, avg_diversity, 12 as rank, 7 as max_iter, 0.05::double as reg_param
 from ({ORACLES["rating_error"]}), ({ORACLES["coverage"]}), ({ORACLES["diversity"]})""")
 def _(spark, folder):
-    pairs = b.pairs_of(spark, folder)
+    # Lists, their coverage and the predictions are all made of one copy of the interactions.
+    rows = b.flagged(spark, folder)
+    pairs = rows.select("user_id", "item_id")
     recs = stage(b.baseline_recs(spark, folder, pairs), "recs")
     row = ev.metrics_row(
-        ev.rating_error(b.bias_predictions(spark, folder), "score"),
+        ev.rating_error(b.bias_predictions(spark, folder, rows), "score"),
         ev.coverage(recs, pairs, "item_id"),
         ev.diversity(recs, b.parts_metadata(spark, folder), "user_id", "item_id", "category"),
         {"rank": 12, "maxIter": 7, "regParam": 0.05})

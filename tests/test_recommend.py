@@ -106,6 +106,13 @@ def test_lists_are_sparks_own_and_no_pairs_are_joined(spark):
     assert sorted(rows(rc.recommend_for(model, some, 7))) == sorted(rows(rc.recommend_all(model, 7).where("user = 3")))
 
 
+def test_metrics_build_the_interactions_once(spark, folder, monkeypatch):
+    made, built = b.interactions, []
+    monkeypatch.setattr(b, "interactions", lambda *a: built.append(a) or made(*a))
+    assert QUERIES["metrics_row_whole"](spark, folder).count() == 1
+    assert len(built) == 1
+
+
 @pytest.mark.parametrize("left", [0, 1, 2])
 def test_a_lost_list_shows_in_the_subset_check(spark, folder, monkeypatch, left):
     made = rc.recommend_for
