@@ -68,6 +68,16 @@ def distinct_count(df: DataFrame, col: str, name: str = "distinct", approx: bool
     return df.agg((F.approx_count_distinct(col) if approx else F.countDistinct(col)).alias(name))
 
 
+def differing_rows(one: DataFrame, other: DataFrame, name: str = "differing") -> DataFrame:
+    """One row: how many rows either table has more than the other, repeats and nulls counted, as ``exceptAll`` both ways.
+
+    Both tables need the same columns, by name; each is read and shuffled once.
+    """
+    both = one.withColumn("_side", F.lit(1)).unionByName(other.withColumn("_side", F.lit(-1)))
+    more = both.groupBy(*[f"`{c}`" for c in one.columns]).agg(F.abs(F.sum("_side")).alias("_more"))
+    return more.agg(F.coalesce(F.sum("_more"), F.lit(0)).alias(name))
+
+
 def mean_distinct_per_group(
     df: DataFrame, key: str | Sequence[str], value: str, name: str = "mean_distinct", digits: int = 4,
 ) -> DataFrame:

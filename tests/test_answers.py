@@ -146,6 +146,14 @@ def test_ordered_counts_and_marks(spark):
     assert rows(ch.marks(numbers, "v")) == [(3.0, 2.0)]
 
 
+def test_differing_rows_are_those_of_except_all_both_ways(spark):
+    one = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (None, None), (None, None)], "k int, v string")
+    other = spark.createDataFrame([("a", 1), (None, 2), (None, None), ("b", 3), ("b", 3)], "v string, k int")
+    both = one.exceptAll(other.select("k", "v")).unionByName(other.select("k", "v").exceptAll(one))
+    assert rows(ag.differing_rows(one, other)) == [(both.count(),)] == [(4,)]
+    assert rows(ag.differing_rows(one, one)) == rows(ag.differing_rows(one.limit(0), one.limit(0))) == [(0,)]
+
+
 def test_sets_of_results(spark, folder):
     df = b.entity(spark, folder)
     assert len(an.analyses(df)) == 15 and len(an.chart_tables(df)) == 10
