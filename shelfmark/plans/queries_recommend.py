@@ -253,7 +253,7 @@ def _(spark, folder):
 def _(spark, folder):
     # The lists of the users in the test split alone are those that they have among all.
     run = b.als_run(spark, folder)
-    users = run.predictions.select("user_id").distinct()
+    users = stage(run.predictions.select("user_id").distinct(), "users")
     some = rc.recommend_for(run.model, users)
     every = rc.recommend_all(run.model).join(users, "user_id", "left_semi")
     return differing_rows(some, every)

@@ -120,6 +120,16 @@ def test_a_lost_list_shows_in_the_subset_check(spark, folder, monkeypatch, left)
     assert rows(QUERIES["als_subset_check"](spark, folder))[0][0] > 0
 
 
+def test_the_checks_of_lists_read_each_table_once(spark, folder):
+    for name, tables in (("als_reload_check", ["best-", "best-"]), ("als_subset_check", ["best-", "best-", "users-"])):
+        df = QUERIES[name](spark, folder)
+        plan = df._jdf.queryExecution().optimizedPlan()
+        leaves = plan.collectLeaves()
+        assert leaves.size() == len(tables)
+        assert not any("/interactions-" in f for f in df.inputFiles())
+        assert rows(df) == [(0,)]
+
+
 def test_ids_beyond_int_are_refused(spark):
     big = spark.createDataFrame([(2**40, 1, 3.0)], "u long, i int, s double")
     with pytest.raises(Exception, match="Integer range|CAST_OVERFLOW"):
