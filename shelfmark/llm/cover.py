@@ -49,8 +49,11 @@ class CoverRanks:
         ranks = {p: _dense(self._seven(p)) for p in needs[0] if p < width}
         nothing = np.zeros(len(rows), np.uint32)
         for size, after in zip(steps[:-1], needs[1:], strict=True):
-            ranks = {p: _dense(ranks[p].astype(np.uint64) << np.uint64(32) | ranks.get(p + size, nothing))
-                     for p in after if p < width}
+            # From the first place on, so that each rank can take the place of the one before.
+            for p in sorted(p for p in after if p < width):
+                ranks[p] = _dense(ranks[p].astype(np.uint64) << np.uint64(32) | ranks.get(p + size, nothing))
+            for p in ranks.keys() - after:
+                del ranks[p]
         self.ranks = ranks
 
     def _seven(self, place: int) -> np.ndarray:

@@ -16,7 +16,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -64,12 +64,15 @@ def tidy(fn: Callable) -> Callable:
 class PartTable:
     """A written copy of ``df`` with ``row``, a key no two rows share, and ``part``.
 
-    A part is what one task wrote, so its size is that of an input partition. The
-    columns of ``df`` are written under numbers, so their names may be any.
+    A part is what one task wrote, so its size is that of an input partition; with
+    ``most`` (a power of two) it is a stretch of at most so many of the rows that a task
+    wrote, however large the partitions are. The columns of ``df`` are written under
+    numbers, so their names may be any.
     """
 
-    def __init__(self, df: DataFrame, name: str):
+    def __init__(self, df: DataFrame, name: str, most: int | None = None):
         self.spark = df.sparkSession
+        self.most = most
         small_batches(self.spark)
         self.name = f"llm_{name}_{uuid.uuid4().hex}"
         self.columns = df.columns
@@ -81,11 +84,20 @@ class PartTable:
         (
             df.toDF(*[f"c{i}" for i in range(len(self.columns))])
             .withColumn("row", F.monotonically_increasing_id())
-            .withColumn("part", F.shiftright("row", 33).cast("int"))
+            .withColumn("part", self.part_of("row"))
             .write.option("compression", "zstd").option("path", path).bucketBy(buckets, "part").saveAsTable(self.name)
         )
         self.rows = self.spark.table(self.name)
 
+    def part_of(self, row: str) -> Column:
+        """The part of the row with this key."""
+        task = F.shiftright(row, 33)
+        if self.most is None:
+            return task.cast("int")
+        stretch = F.shiftright(F.col(row).bitwiseAND(F.lit((1 << 33) - 1)), self.most.bit_length() - 1)
+        # Beyond 2,048 stretches of a task two share a number and are one part.
+        return F.pmod(task * 2048 + stretch, F.lit(1 << 31)).cast("int")
+
     def drop(self) -> None:
         """Take the copy out of the catalogue; its files go with the scope it was made in."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
@@ -118,7 +130,7 @@ class PartTable:
 
     def keep(self, chosen: DataFrame) -> DataFrame:
         """The rows of the table whose key is among ``chosen``'s ``row``, in the columns they came with."""
-        answers = chosen.select("row", F.shiftright("row", 33).cast("int").alias("part"))
+        answers = chosen.select("row", self.part_of("row").alias("part"))
         return self.rewrite(answers, lambda part, own: part.filter(
             pc.is_in(part.column("row"), value_set=own.column("row").combine_chunks())))
 

@@ -30,6 +30,10 @@ BEFORE = PLACES - 1
 ROW = BEFORE + LENGTH
 KEY_BITS = 48
 BYTES_PER_OWNER = 1 << 23
+# Documents of a part, and rows whose suffixes are sorted at a time (more only if they share one anchor):
+# the memory of a task follows them, and neither partitions of the input nor the share of text that is repeated.
+PART_ROWS = 1 << 12
+SORT_ROWS = 1 << 16
 # Rows of this much text are cut out and reduced at a time.
 BLOCK_BYTES = 1 << 20
 RECORD = "part int, owner int, rows binary, lo binary, hi binary, least binary, sizes binary, at binary, place binary, later binary"
@@ -162,17 +166,29 @@ def _record(part: int, whole, owner, at, place, doc) -> pa.Table:
     later = (doc > np.repeat(doc[first], sizes)).astype(np.uint8)
     out = []
     edges = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])[:len(whole)])
-    for a, b in zip(edges, np.append(edges, len(owner))[1:], strict=True):
-        u = first[(first >= a) & (first < b)]
+    ends = np.append(edges, len(owner))[1:]
+    for a, b, c, d in zip(edges, ends, np.searchsorted(first, edges), np.searchsorted(first, ends), strict=True):
+        u = first[c:d]
         out.append((
             int(owner[a]), whole[u, :ROW].tobytes(), whole[u, ROW].tobytes(), whole[u, ROW + 1].tobytes(), doc[u].astype("<i8").tobytes(),
-            sizes[(first >= a) & (first < b)].astype("<u4").tobytes(), at[a:b].astype("<u4").tobytes(),
+            sizes[c:d].astype("<u4").tobytes(), at[a:b].astype("<u4").tobytes(),
             place[a:b].astype("<u4").tobytes(), later[a:b].tobytes()))
     names = ["rows", "lo", "hi", "least", "sizes", "at", "place", "later"]
     return pa.table({"part": pa.array([part] * len(out), pa.int32()), "owner": pa.array([o[0] for o in out], pa.int32()),
                      **{c: binary([o[i + 1] for o in out]) for i, c in enumerate(names)}})
 
 
+def _by_anchor(rows: np.ndarray, most: int) -> list[np.ndarray]:
+    """The places of the rows in groups of about ``most``; rows around the same anchor are in one group."""
+    if len(rows) <= most:
+        return [np.arange(len(rows))]
+    grams = np.ascontiguousarray(rows[:, BEFORE:BEFORE + GRAM]).view("<u8")
+    code = mix(grams[:, 0] * np.uint64(0x9E3779B97F4A7C15) ^ mix(grams[:, 1] + np.uint64(1)))
+    group = exchange.owner_of(code, -(-len(rows) // most), 64)
+    order = np.argsort(group, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(group[order])) + 1)
+
+
 def _sort_rows(received: pa.Table) -> pa.Table:
     """Per message, the places of its rows and which of their strings stand in a smaller document."""
     def joined(name, dtype):
@@ -183,10 +199,13 @@ def _sort_rows(received: pa.Table) -> pa.Table:
     lo, hi = np.concatenate(joined("lo", np.uint8)), np.concatenate(joined("hi", np.uint8))
     least = np.concatenate(joined("least", "<i8"))
     earlier = np.zeros(len(rows), np.uint64)
-    for at, members, begins in cover.buckets(rows, lo, hi, PLACES, LENGTH):
-        classes = np.cumsum(begins) - 1
-        smallest = np.minimum.reduceat(least[members], np.flatnonzero(begins))[classes]
-        earlier[members] |= (smallest < least[members]).astype(np.uint64) << np.uint64(at)
+    # Strings that are the same have the same anchor, so each group of anchors is sorted by itself.
+    for some in _by_anchor(rows, SORT_ROWS):
+        for at, members, begins in cover.buckets(rows[some], lo[some], hi[some], PLACES, LENGTH):
+            members = some[members]
+            classes = np.cumsum(begins) - 1
+            smallest = np.minimum.reduceat(least[members], np.flatnonzero(begins))[classes]
+            earlier[members] |= (smallest < least[members]).astype(np.uint64) << np.uint64(at)
     full = (np.uint64(1) << hi.astype(np.uint64)) - (np.uint64(1) << lo.astype(np.uint64))
     out = []
     ends = np.cumsum(counts)
@@ -289,7 +308,7 @@ def suffix_duplicates(docs: DataFrame, doc_id: str = "doc_id", texts: str = "tex
     doc_id do not count against each other; an empty table gives an empty result.
     """
     with scope():
-        table = PartTable(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{texts}`").alias("text")), "suffix")
+        table = PartTable(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{texts}`").alias("text")), "suffix", PART_ROWS)
         with scope():
             cut = hand_out(remove_repeats(table), "cut")
         return hand_out(table.pick(["doc_id"]).select("row", "doc_id").join(cut, "row").drop("row"), "suffix")
@@ -301,7 +320,7 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     Where there is a column n_chars, it is set anew. Documents keep their rows, also with nothing left.
     """
     with scope():
-        table = PartTable(docs, "suffix")
+        table = PartTable(docs, "suffix", PART_ROWS)
         with scope():
             cut = hand_out(remove_repeats(table).where("n_removed > 0").select("row", "kept"), "cut")
         place = f"c{table.columns.index('text')}"
@@ -312,7 +331,7 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
                      for r, t in zip(part.column("row").to_pylist(), part.column(place).to_pylist(), strict=True)]
             return part.set_column(part.schema.get_field_index(place), place, pa.array(texts, pa.string()))
 
-        out = table.rewrite(cut.withColumn("part", F.shiftright("row", 33).cast("int")), put)
+        out = table.rewrite(cut.withColumn("part", table.part_of("row")), put)
         if "n_chars" in table.columns:
             out = out.withColumn("n_chars", F.char_length("text").cast(table.kind("n_chars")))
         return hand_out(out, "cut", "zstd")

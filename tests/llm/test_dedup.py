@@ -5,15 +5,18 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from plain import no_docs, odd_docs, shingled  # noqa: F401
 from pyspark.sql import functions as F
 
-from shelfmark.llm import cover, golomb, minhash
+from shelfmark.llm import cover, golomb, minhash, suffix_dedup
 from shelfmark.llm.components import components
 from shelfmark.llm.exact_dedup import drop_exact_duplicates, exact_duplicates
+from shelfmark.llm.parts import PartTable
 from shelfmark.llm.suffix_dedup import LENGTH, drop_repeats, suffix_duplicates
+from shelfmark.sources.staging import scope, stage
 
 
 
@@ -198,3 +201,49 @@ def test_repeats_leave_other_columns(odd_docs):
     out = drop_repeats(odd_docs)
     assert out.columns == odd_docs.columns and out.count() == odd_docs.count()
     assert out.where(F.col("n_chars").isNotNull() & (F.col("n_chars") != F.char_length("text"))).count() == 0
+
+
+def test_parts_of_a_large_partition(spark):
+    with scope():
+        table = PartTable(spark.range(100, numPartitions=1).toDF("doc_id"), "some", 16)
+        sizes = {r.part: r["count"] for r in table.rows.groupBy("part").count().collect()}
+        assert sorted(sizes.values()) == [4] + [16] * 6
+        kept = table.keep(stage(table.pick(["doc_id"]).where("doc_id % 3 = 0").select("row"), "chosen"))
+        assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 100, 3))
+
+
+def test_repeats_in_one_large_partition(spark, monkeypatch):
+    most = []
+
+    class Seen(PartTable):
+        def __init__(self, *args):
+            super().__init__(*args)
+            most.append(self.rows.groupBy("part").count().agg(F.max("count")).first()[0])
+
+    monkeypatch.setattr(suffix_dedup, "PartTable", Seen)
+    monkeypatch.setattr(suffix_dedup, "PART_ROWS", 8)
+    r = random.Random(4)
+    passages = ["".join(r.choice("abcé \n") for _ in range(r.randint(40, 140))) for _ in range(9)]
+    rows = [(i % 50, "".join(r.choice(passages + ["q%d " % i]) for _ in range(r.randint(0, 8)))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = sorted((x.doc_id, x.n_bytes, x.n_removed, x.n_spans, bytes(x.kept)) for x in suffix_duplicates(docs).collect())
+    assert found == plain_repeats(rows)
+    assert len(drop_repeats(docs).collect()) == 60
+    assert most == [8, 8]
+
+
+def test_rows_are_sorted_by_groups_of_anchors(monkeypatch):
+    r = np.random.default_rng(3)
+    texts = ["".join(r.choice(list("ab "), 300)) for _ in range(6)]
+    texts = pa.array([t[k:] + texts[(i + k) % 6][:200 - k] for k in range(0, 60, 4) for i, t in enumerate(texts)])
+    whole, text, place, key = suffix_dedup._rows_of(texts, np.unique(suffix_dedup.anchors(texts)[4]))
+    order = np.lexsort((text, key))
+    received = suffix_dedup._record(0, whole[order], np.zeros(len(order), np.int64), text[order], place[order], text[order])
+    rows = whole[order][:, :suffix_dedup.ROW]
+    groups = suffix_dedup._by_anchor(rows, 64)
+    assert len(groups) > 10 and sorted(np.concatenate(groups)) == list(range(len(rows)))
+    grams = [{rows[i, suffix_dedup.BEFORE:suffix_dedup.BEFORE + suffix_dedup.GRAM].tobytes() for i in g} for g in groups]
+    assert sum(map(len, grams)) == len(set().union(*grams))
+    at_once = suffix_dedup._sort_rows(received)
+    monkeypatch.setattr(suffix_dedup, "SORT_ROWS", 64)
+    assert at_once.num_rows and suffix_dedup._sort_rows(received).equals(at_once)
