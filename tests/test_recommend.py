@@ -1,5 +1,8 @@
+import time
+
 import numpy as np
 import pytest
+from pyspark.ml.recommendation import ALS
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -11,6 +14,7 @@ from shelfmark.plans import queries_recommend  # noqa: F401
 from shelfmark.plans.registry import QUERIES
 from shelfmark.sources import readers as rd
 from shelfmark.sources import writers as wr
+from shelfmark.sources.staging import free_unreferenced
 
 from conftest import rows
 
@@ -106,6 +110,32 @@ def test_lists_are_sparks_own_and_no_pairs_are_joined(spark):
     assert sorted(rows(rc.recommend_for(model, some, 7))) == sorted(rows(rc.recommend_all(model, 7).where("user = 3")))
 
 
+def test_training_leaves_no_shuffles(spark):
+    rng = np.random.default_rng(6)
+    train = [(int(u), int(i), float(rng.integers(1, 6))) for u in range(40) for i in rng.choice(90, 12, replace=False)]
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    free_unreferenced(spark)
+    time.sleep(3)
+    before = manager.shuffleStatuses().size()
+    most, made = [], ALS._fit
+
+    def fit(self, df):
+        model = made(self, df)
+        most.append(manager.shuffleStatuses().size() - before)
+        return model
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(ALS, "_fit", fit)
+        model = rc.train_als(spark.createDataFrame(train, "user int, item int, score double"), "user", "item", "score")
+    # The ratings are dealt out in three shuffles; ten iterations of two each were 23 in all.
+    assert most[0] < 10
+    until = time.time() + 20
+    while manager.shuffleStatuses().size() > before and time.time() < until:
+        time.sleep(0.2)
+    assert manager.shuffleStatuses().size() <= before
+    assert model.userFactors.count() == 40 and model.getColdStartStrategy() == "drop" and model.rank == 10
+
+
 def test_metrics_build_the_interactions_once(spark, folder, monkeypatch):
     made, built = b.interactions, []
     monkeypatch.setattr(b, "interactions", lambda *a: built.append(a) or made(*a))
